@@ -43,7 +43,10 @@ UNIT_SECONDS = {
     "sec(?:ond)?": 1,
 }
 _UNIT = "(?:" + "|".join(UNIT_SECONDS) + ")s?"
-TEXT_DURATION = rf"(?i)^\+?\d+\s*{_UNIT}(?:[\s,]+\+?\d+\s*{_UNIT})*$"
+TEXT_DURATION = rf"(?i)^\+?\d{{1,9}}\s*{_UNIT}(?:[\s,]+\+?\d{{1,9}}\s*{_UNIT})*$"
+
+
+YMD = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def _pick(col: Column, pattern: str, group: int) -> Column:
@@ -90,45 +93,42 @@ def _parse_iso(c: Column) -> Column:
     )
 
 
-def _month_number(word: Column) -> Column:
-    return F.array_position(
-        F.array(*[F.lit(m) for m in MONTHS]), F.substring(F.lower(word), 1, 3)
-    ).cast("int")
-
-
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws(
-        "-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")
-    )
+# Date layouts rewritten to year-month-day; "#n" stands for a month name.
+LAYOUTS = [
+    (r"^#(\d+) (\d{1,2}) (\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})[ -]#(\d+)[ -](\d{4})$", "$3-$2-$1"),
+    (r"^#(\d+) (\d{4})$", "$2-$1-1"),
+    (r"^(\d{4}-\d{2}-\d{2})T\d{2}:?\d{2}.*$", "$1"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})[.-](\d{1,2})[.-](\d{4})$", "$3-$2-$1"),
+]
+# Words around a date that carry no information.
+NOISE = [
+    (rf"(?i){WEEKDAY}\.?", " "),
+    (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1"),
+    (r"(?i),|\bof\b|\bthe\b", " "),
+    (r"(?i)(?:\bat\b)?\s*\b\d{1,2}:\d{2}(?::\d{2})?(?:\s*[ap]\.?m\.?)?\s*$", ""),
+    (r"\s+", " "),
+]
 
 
 def _text_date(c: Column) -> Column:
-    s = F.regexp_replace(c, rf"(?i){WEEKDAY}\.?", " ")
-    s = F.regexp_replace(s, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1")
-    s = F.regexp_replace(s, r"(?i)[,]|\bof\b|\bthe\b", " ")
-    s = F.regexp_replace(s, r"(?i)(?:\bat\b)?\s*\b\d{1,2}:\d{2}(?::\d{2})?(?:\s*[ap]\.?m\.?)?\s*$", "")
-    s = strip_edges(F.regexp_replace(s, r"\s+", " "))
-    return F.date_format(F.try_to_date(let(s, _known_layouts), "yyyy-MM-dd"), "yyyy-MM-dd")
-
-
-def _known_layouts(s: Column) -> Column:
-    """Rewrite the known layouts to yyyy-MM-dd; the caller's one parse validates it."""
-    mdy = rf"(?i)^{MONTH_WORD}\.? (\d{{1,2}}) (\d{{4}})$"
-    dmy = rf"(?i)^(\d{{1,2}})[ -]{MONTH_WORD}\.?[ -](\d{{4}})$"
-    my = rf"(?i)^{MONTH_WORD}\.? (\d{{4}})$"
-    stamp = r"^(\d{4}-\d{2}-\d{2})T\d{2}:?\d{2}.*$"
-    ymd, us = r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})$", r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-    eu = r"^(\d{1,2})[.-](\d{1,2})[.-](\d{4})$"
-    return (
-        F.when(s.rlike(mdy), _ymd(_pick(s, mdy, 3), _month_number(_pick(s, mdy, 1)), _pick(s, mdy, 2)))
-        .when(s.rlike(dmy), _ymd(_pick(s, dmy, 3), _month_number(_pick(s, dmy, 2)), _pick(s, dmy, 1)))
-        .when(s.rlike(my), _ymd(_pick(s, my, 2), _month_number(_pick(s, my, 1)), F.lit("1")))
-        .when(s.rlike(ISO_CALENDAR), s)
-        .when(s.rlike(stamp), _pick(s, stamp, 1))
-        .when(s.rlike(ymd), _ymd(_pick(s, ymd, 1), _pick(s, ymd, 2), _pick(s, ymd, 3)))
-        .when(s.rlike(us), _ymd(_pick(s, us, 3), _pick(s, us, 1), _pick(s, us, 2)))
-        .when(s.rlike(eu), _ymd(_pick(s, eu, 3), _pick(s, eu, 2), _pick(s, eu, 1)))
+    """Rewrite the known layouts to one form, which a single parse then validates."""
+    for pattern, to in NOISE:
+        c = F.regexp_replace(c, pattern, to)
+    month = F.array_position(
+        F.array(*[F.lit(m) for m in MONTHS]),
+        F.substring(F.lower(F.regexp_extract(c, rf"(?i)\b{MONTH_WORD}\b", 1)), 1, 3),
+    )
+    s = F.regexp_replace(
+        c, F.lit(rf"(?i)\b{MONTH_WORD}\b\.?"), F.concat(F.lit("#"), month.cast("string"))
     )
+    s = strip_edges(s)
+    for pattern, to in LAYOUTS:
+        s = F.regexp_replace(s, pattern, to)
+    # anything else left over does not parse
+    return F.date_format(F.try_to_date(F.regexp_extract(s, YMD, 0), "yyyy-M-d"), "yyyy-MM-dd")
 
 
 def iso_date(col: Column | str) -> Column:
@@ -139,13 +139,17 @@ def iso_date(col: Column | str) -> Column:
 
 
 def _duration_seconds(c: Column) -> Column:
-    total = F.lit(0).cast("long")
-    for unit, seconds in UNIT_SECONDS.items():
-        found = F.regexp_extract_all(c, F.lit(rf"(?i)(\d{{1,9}})\s*{unit}s?(?![a-z])"), F.lit(1))
-        total = total + F.aggregate(
-            found, F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long")
-        ) * F.lit(seconds)
-    return total
+    """Sum over the "number unit" pairs of a text."""
+
+    def seconds(pair: Column) -> Column:
+        unit = F.lower(F.regexp_extract(pair, "[A-Za-z]+", 0))
+        factor = F
+        for name, value in UNIT_SECONDS.items():
+            factor = factor.when(unit.rlike(f"^{name}s?$"), F.lit(value))
+        return F.regexp_extract(pair, r"\d+", 0).cast("long") * factor
+
+    pairs = F.regexp_extract_all(c, F.lit(r"\d{1,9}\s*[A-Za-z]+"), F.lit(0))
+    return F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, x: acc + seconds(x))
 
 
 def format_seconds(seconds: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.quality import REQUIRED
-from larder.operators.records import field_rule
+from larder.operators.records import normalized
 from larder.schema import LIST_FIELDS, RECIPE_FIELDS
 
 CARRIED = ["_id", "ts"]
@@ -16,25 +16,19 @@ def _stored_fields(store: DataFrame) -> list[str]:
     return [f for f in RECIPE_FIELDS if f in store.columns]
 
 
-def new_value(field: str) -> Column:
-    """The field's rule applied again to a stored value."""
-    col = F.col(field)
-    return field_rule(field, col if field in LIST_FIELDS else F.array(col))
-
-
 def renormalize(store: DataFrame) -> DataFrame:
     """Every stored field through its rule again; ``_id`` and ``ts`` are carried over."""
-    fields = _stored_fields(store)
-    return store.select(*CARRIED, *[new_value(f).alias(f) for f in fields])
+    fields, new = _stored_fields(store), normalized(dict(store.dtypes))
+    return store.select(*CARRIED, *[new[f].alias(f) for f in fields])
 
 
 def _old_and_new(store: DataFrame) -> DataFrame:
     """Old and new version of a record as two structs of one row: no join is needed."""
-    fields = _stored_fields(store)
+    fields, new = _stored_fields(store), normalized(dict(store.dtypes))
     return store.select(
         *CARRIED,
         F.struct(*fields).alias("old"),
-        F.struct(*[new_value(f).alias(f) for f in fields]).alias("new"),
+        F.struct(*[new[f].alias(f) for f in fields]).alias("new"),
     )
 
 

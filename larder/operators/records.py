@@ -106,6 +106,10 @@ def field_rule(field: str, values: Column) -> Column:
     return first
 
 
+def _after_strip(parse: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda v: parse(X.strip_html(v))
+
+
 def normalize_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw records -> records: known fields only, each through its own rule.
 
@@ -113,13 +117,30 @@ def normalize_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     NULL; columns that are neither a field nor named in ``keep`` are dropped. One projection,
     so unused fields are pruned.
     """
-    types = dict(raw.dtypes)
+    return raw.select(*keep, *[c.alias(f) for f, c in normalized(dict(raw.dtypes)).items()])
 
-    def rule(field: str) -> Column:
-        if field not in types:
-            kind = "array<string>" if field in LIST_FIELDS else "string"
-            return F.lit(None).cast(kind)
-        col = F.col(field)
-        return field_rule(field, col if types[field].startswith("array") else F.array(col))
 
-    return raw.select(*keep, *[rule(f).alias(f) for f in RECIPE_FIELDS])
+def normalized(types: dict[str, str]) -> dict[str, Column]:
+    """The rule of every record field over the columns of a table, by field.
+
+    Dates, and durations, share one long rule: it is written once over the array of the
+    three fields, which keeps the plan short.
+    """
+
+    def values(field: str) -> Column:
+        col = F.col(field)
+        return col if types[field].startswith("array") else F.array(col)
+
+    out = {}
+    for f in RECIPE_FIELDS:
+        if f not in types:
+            out[f] = F.lit(None).cast("array<string>" if f in LIST_FIELDS else "string")
+        elif f not in DATE_FIELDS and f not in DURATION_FIELDS:
+            out[f] = field_rule(f, values(f))
+    for group, parse in ((DATE_FIELDS, iso_date), (DURATION_FIELDS, iso_duration)):
+        have = [f for f in group if f in types]
+        if have:
+            firsts = F.array(*[X.take_first(values(f)) for f in have])
+            parsed = F.transform(firsts, _after_strip(parse))
+            out.update({f: F.get(parsed, F.lit(i)) for i, f in enumerate(have)})
+    return {f: out[f] for f in RECIPE_FIELDS}
