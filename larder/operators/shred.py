@@ -10,6 +10,7 @@ begins, unclosed elements end with their parent, unknown end tags are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 
@@ -24,9 +25,9 @@ from larder.schema import NODE_ATTRS, NODE_TYPE
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*>"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<odd>[a-zA-Z][^\s/>]*)(?P<odd_attrs>[^>]*)>",
+    r"|</([a-zA-Z][^\s/>]*)[^>]*>"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -35,7 +36,7 @@ ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW_TEXT = frozenset("script style".split())
+RAW_TEXT = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in ("script", "style")}
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 "
     "h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -63,53 +64,32 @@ MAX_NODES = 200_000
 MAX_CHARS = 16_000_000
 
 ATTR_SLOT = {a.replace("_", "-"): i for i, a in enumerate(NODE_ATTRS)}
+ITEMSCOPE = ATTR_SLOT["itemscope"]
 
 
 class NodeColumns:
     """Flat node columns of a batch of pages."""
 
     def __init__(self) -> None:
-        self.pos: list[int] = []
+        self.rows: list[tuple] = []  # pos, parent, depth, item, tag, text
         self.end: list[int] = []
-        self.parent: list[int] = []
-        self.depth: list[int] = []
-        self.item: list[int] = []
-        self.tag: list[str] = []
-        self.text: list[str | None] = []
         self.attr_rows: list[list[int]] = [[] for _ in NODE_ATTRS]
         self.attr_values: list[list[str]] = [[] for _ in NODE_ATTRS]
         self.offsets: list[int] = [0]
 
     def add_page(self, html: str) -> None:
-        base = len(self.pos)
-        stack: list[tuple[str, int, int]] = []  # tag, position, nearest itemscope incl. itself
-        pos, end, parent, depth = self.pos, self.end, self.parent, self.depth
-        item, tag_col, text_col = self.item, self.tag, self.text
-
-        def node(tag: str, text: str | None) -> int:
-            here = len(pos) - base
-            pos.append(here)
-            end.append(here)
-            if stack:
-                parent.append(stack[-1][1])
-                item.append(stack[-1][2])
-            else:
-                parent.append(-1)
-                item.append(-1)
-            depth.append(len(stack))
-            tag_col.append(tag)
-            text_col.append(text)
-            return here
+        rows, end = self.rows, self.end
+        base = len(rows)
+        stack: list[tuple[str, int, int]] = [("", -1, -1)]  # tag, position, nearest item
 
         def pop_to(size: int) -> None:
-            last = len(pos) - base - 1
+            last = len(rows) - base - 1
             for _, p, _ in stack[size:]:
                 end[base + p] = last
             del stack[size:]
 
-        def close_implied(rule: tuple[frozenset, frozenset]) -> None:
-            ends, stops = rule
-            for i in range(len(stack) - 1, -1, -1):
+        def close_implied(ends: frozenset, stops: frozenset) -> None:
+            for i in range(len(stack) - 1, 0, -1):
                 open_tag = stack[i][0]
                 if open_tag in ends:
                     pop_to(i)
@@ -118,64 +98,81 @@ class NodeColumns:
                     return
 
         def add_text(raw: str, decode: bool = True) -> None:
-            if raw:
-                node("#text", unescape(raw) if decode and "&" in raw else raw)
+            here = len(rows) - base
+            _, parent, item = stack[-1]
+            text = unescape(raw) if decode and "&" in raw else raw
+            rows.append((here, parent, len(stack) - 1, item, "#text", text))
+            end.append(here)
 
-        at, size = 0, len(html)
+        at, size, search = 0, len(html), TOKEN.search
         while at < size:
-            m = TOKEN.search(html, at)
+            m = search(html, at)
             if m is None:
                 break
-            add_text(html[at : m.start()])
+            if m.start() > at:
+                add_text(html[at : m.start()])
             at = m.end()
-            kind = m.lastgroup
-            if kind == "end":
-                name = m["end"].lower()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
+            kind = m.lastindex
+            if kind is None:
+                continue
+            if kind == 1:
+                name = m[1].lower()
+                for i in range(len(stack) - 1, 0, -1):
+                    open_tag = stack[i][0]
+                    if open_tag == name:
                         pop_to(i)
                         break
-                    if stack[i][0] in END_BARRIER:
+                    if open_tag in END_BARRIER:
                         break
-            elif kind is not None:
-                name = (m["start"] or m["odd"]).lower()
-                raw_attrs = m["attrs"] if m["start"] else m["odd_attrs"]
-                if name in CLOSES_P:
-                    close_implied(P_END)
-                rule = IMPLIED_END.get(name)
-                if rule:
-                    close_implied(rule)
-                here = node(name, None)
-                scope = item[base + here]
-                if raw_attrs and not raw_attrs.isspace():
-                    seen = set()
-                    for a in ATTR.finditer(raw_attrs):
-                        slot = ATTR_SLOT.get(a[1].lower())
-                        if slot is None or slot in seen:
-                            continue
-                        seen.add(slot)
-                        value = a[2] if a[2] is not None else a[3] if a[3] is not None else a[4]
-                        value = value or ""
-                        self.attr_rows[slot].append(base + here)
-                        self.attr_values[slot].append(unescape(value) if "&" in value else value)
-                        if slot == ATTR_SLOT["itemscope"]:
-                            scope = here
-                if name in VOID:
-                    continue
-                stack.append((name, here, scope))
-                if name in RAW_TEXT:
-                    close = re.compile(rf"</{name}[\s/>]", re.I).search(html, at)
-                    stop = close.start() if close else size
+                continue
+            name = m[kind - 1].lower()
+            raw_attrs = m[kind]
+            if name in CLOSES_P:
+                close_implied(*P_END)
+            if name in IMPLIED_END:
+                close_implied(*IMPLIED_END[name])
+            here = len(rows) - base
+            _, parent, item = stack[-1]
+            rows.append((here, parent, len(stack) - 1, item, name, None))
+            end.append(here)
+            if "=" in raw_attrs or "item" in raw_attrs:
+                if self.add_attrs(raw_attrs, base + here):
+                    item = here
+            if name in VOID:
+                continue
+            stack.append((name, here, item))
+            if name in RAW_TEXT:
+                close = RAW_TEXT[name].search(html, at)
+                stop = close.start() if close else size
+                if stop > at:
                     add_text(html[at:stop], decode=False)
-                    at = stop
-        add_text(html[at:])
-        pop_to(0)
+                at = stop
+        if at < size:
+            add_text(html[at:])
+        pop_to(1)
+
+    def add_attrs(self, raw: str, row: int) -> bool:
+        """Note the known attributes of an element, the first of each name; tells whether
+        it opens an item."""
+        opens = False
+        seen = 0
+        for name, double, single, bare in ATTR.findall(raw):
+            slot = ATTR_SLOT.get(name) if name.islower() else ATTR_SLOT.get(name.lower())
+            if slot is None or seen >> slot & 1:
+                continue
+            seen |= 1 << slot
+            value = double or single or bare
+            self.attr_rows[slot].append(row)
+            self.attr_values[slot].append(unescape(value) if "&" in value else value)
+            opens = opens or slot == ITEMSCOPE
+        return opens
 
     def close_row(self) -> None:
-        self.offsets.append(len(self.pos))
+        self.offsets.append(len(self.rows))
 
-    def to_arrow(self, node_type: pa.DataType) -> pa.Array:
-        n = len(self.pos)
+    def to_arrow(self) -> pa.Array:
+        n = len(self.rows)
+        pos, parent, depth, item, tag, text = zip(*self.rows) if n else ((),) * 6
         attr_arrays = []
         for rows, values in zip(self.attr_rows, self.attr_values):
             col = np.full(n, None, dtype=object)
@@ -185,10 +182,10 @@ class NodeColumns:
         attrs = pa.StructArray.from_arrays(attr_arrays, names=NODE_ATTRS)
         ints = [
             pa.array(np.asarray(c, dtype=np.int32))
-            for c in (self.pos, self.end, self.parent, self.depth, self.item)
+            for c in (pos, self.end, parent, depth, item)
         ]
         nodes = pa.StructArray.from_arrays(
-            [*ints, pa.array(self.tag, pa.string()), pa.array(self.text, pa.string()), attrs],
+            [*ints, pa.array(tag, pa.string()), pa.array(text, pa.string()), attrs],
             names=["pos", "end", "parent", "depth", "item", "tag", "text", "attrs"],
         )
         return pa.ListArray.from_arrays(pa.array(np.asarray(self.offsets, dtype=np.int32)), nodes)
@@ -203,7 +200,7 @@ def shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         def flush(stop: int) -> pa.RecordBatch:
             part = batch.slice(start, stop - start)
             arrays = [part.column(i) for i in keep]
-            nodes = cols.to_arrow(None)
+            nodes = cols.to_arrow()
             names = [batch.schema.names[i] for i in keep]
             return pa.RecordBatch.from_arrays([*arrays, nodes], names=[*names, "nodes"])
 
@@ -213,7 +210,7 @@ def shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 cols.add_page(text)
                 chars += len(text)
             cols.close_row()
-            if len(cols.pos) >= MAX_NODES or chars >= MAX_CHARS:
+            if len(cols.rows) >= MAX_NODES or chars >= MAX_CHARS:
                 yield flush(row + 1)
                 start, chars, cols = row + 1, 0, NodeColumns()
         if start < batch.num_rows:
@@ -231,7 +228,5 @@ def shred_pages(pages: DataFrame) -> DataFrame:
         + [T.StructField("nodes", T.ArrayType(NODE_TYPE))]
     )
     # Ship this module by value: executors need not have the package installed.
-    import sys
-
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return pages.mapInArrow(shred_batches, schema)

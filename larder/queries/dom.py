@@ -67,7 +67,7 @@ def q_page_text(spark, sf):
 @query(
     r"""SELECT page_id, CAST(len(ads) AS BIGINT) AS ads, coalesce(array_to_string(ads, '|'), '') AS texts,
         CAST(0 AS BIGINT) AS prefixes FROM (SELECT page_id, """
-    + f"list_transform(regexp_extract_all(html, '<div class=\"ad\">(.*?)</div>', 1), lambda x: {_unescaped('x')}) AS ads FROM pages) t"
+    + f"list_transform(regexp_extract_all(html, '<div class=\"ad\">(.*?)</div>', 1, 's'), lambda x: {_unescaped('x')}) AS ads FROM pages) t"
 )
 def q_select_class(spark, sf):
     d = shredded(spark, sf).select(

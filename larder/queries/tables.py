@@ -17,6 +17,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Small rows that each cost much work (rendering, shredding): a share for every core.
+
+    Real page tables need no such step: their size gives them enough partitions.
+    """
+    spark = df.sparkSession
+    n = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    # hashed once more: a plain key would count as done by the join before, whose shuffle
+    # the adaptive planner may then read as one partition
+    return df.repartition(n, F.xxhash64(key))
+
+
 # --- raw items from documents -------------------------------------------------------------
 
 SECOND_VISIT = 1_000_000_000
@@ -101,6 +115,7 @@ o AS (
     coalesce(bag, '') AS bag, coalesce(distinct_bag, '') AS distinct_bag,
     CAST(o_orderkey AS VARCHAR) AS key,
     CASE WHEN o_custkey % 11 <> 0 THEN 'Order ' || CAST(o_orderkey AS VARCHAR) END AS name,
+    CASE WHEN o_custkey % 11 <> 0 THEN 'Order' END AS first_name,
     'PT' || CAST(o_custkey % 50 + 5 AS VARCHAR) || 'M' AS prep,
     'PT' || CAST(o_orderkey % 3 + 1 AS VARCHAR) || 'H30M' AS cook,
     CAST(coalesce(n, 0) AS VARCHAR) || ' servings' AS yield,
@@ -131,11 +146,12 @@ def orders_with_lines(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("lines")
     )
     none = F.expr("cast(array() as array<struct<l_linenumber: int, l_partkey: bigint, l_extendedprice: double, qty: string, part: string>>)")
-    return (
+    return spread(
         table(spark, sf, "orders")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .withColumn("lines", F.coalesce("lines", none))
-        .drop("l_orderkey")
+        .drop("l_orderkey"),
+        "o_orderkey",
     )
 
 
@@ -179,7 +195,7 @@ def _render(shape: str) -> Column:
         return F.when(src.isNotNull(), _t("<img ", attributes, ' src="', src, '">')).otherwise("")
 
     def rows(fn) -> Column:
-        return F.array_join(F.transform("lines", fn), "\n")
+        return F.array_join(F.transform("lines", fn), "")
 
     text = lambda x: F.concat(x["qty"], F.lit(" "), x["part"])
     head = _t(
