@@ -122,11 +122,11 @@ def microdata_marks(nodes: Column) -> Column:
     return F.flatten(F.transform(found, entries))
 
 
-def _named(props: Column, name: str) -> Column:
+def _named(props: Column, name: str | Column) -> Column:
     return F.filter(props, lambda p: p["name"] == name)
 
 
-def _values(props: Column, name: str) -> Column:
+def _values(props: Column, name: str | Column) -> Column:
     return F.transform(_named(props, name), lambda p: p["value"])
 
 
@@ -143,69 +143,94 @@ def _first(props: Column, name: str) -> Column:
     return F.get(_named(props, name), F.lit(0))["value"]
 
 
-def _schema_org(marks: Column, own: Column, page_url: Column, og: Column) -> dict[str, Column]:
-    nutrition = _members(marks, _nested(own, "nutrition"))
-    rating = _members(marks, _nested(own, "aggregateRating"))
-    url = _first(own, "url")
+def by_name(props: Column) -> Column:
+    """MAP property -> values in document order, so that each field is one look-up."""
+    names = F.array_distinct(F.transform(props, lambda p: p["name"]))
+    return X.let(
+        names, lambda ns: F.map_from_arrays(ns, F.transform(ns, lambda n: _values(props, n)))
+    )
+
+
+def _get(props: Column, name: str) -> Column:
+    return F.try_element_at(props, F.lit(name))
+
+
+def _head(values: Column) -> Column:
+    return F.get(values, F.lit(0))
+
+
+def _schema_org(own: Column, nutrition: Column, rating: Column, page_url: Column, og: Column) -> dict:
+    url = _head(_get(own, "url"))
     return {
-        **{f: _values(own, f) for f in SCHEMA_ORG_NAMES},
-        **{f: _values(nutrition, f) for f in NUTRITION_FIELDS},
-        "aggregateRating": _values(rating, "ratingValue"),
-        "image": prefer_image(_values(own, "image"), og),
+        **{f: _get(own, f) for f in SCHEMA_ORG_NAMES},
+        **{f: _get(nutrition, f) for f in NUTRITION_FIELDS},
+        "aggregateRating": _get(rating, "ratingValue"),
+        "image": prefer_image(_get(own, "image"), og),
         "url": F.array(F.when(is_absolute(url), url).otherwise(page_url)),
-        "ingredients": X.distinct_list(_values(own, "ingredients")),
-        "recipeCategory": X.distinct_list(_values(own, "recipeCategory")),
+        "ingredients": X.distinct_list(_get(own, "ingredients")),
+        "recipeCategory": X.distinct_list(_get(own, "recipeCategory")),
     }
 
 
-def _data_vocabulary(marks: Column, own: Column, page_url: Column, og: Column) -> dict[str, Column]:
-    nutrition = _members(marks, _nested(own, "nutrition"))
-    rating = _members(marks, _nested(own, "aggregateRating"))
-
-    def ingredient(p: Column) -> Column:
-        parts = _members(marks, p)
-        return F.when(
-            p["scoped"],
-            F.concat_ws(" ", _first(parts, "amount"), _first(parts, "name")),
-        ).otherwise(p["value"])
-
+def _data_vocabulary(
+    own: Column, nutrition: Column, rating: Column, page_url: Column, og: Column, ingredients: Column
+) -> dict:
     return {
-        **{f: _values(own, name) for f, name in DATA_VOCABULARY_NAMES.items()},
-        **{f: _values(nutrition, name) for f, name in DATA_VOCABULARY_NUTRITION.items()},
-        "aggregateRating": _values(rating, "ratingValue"),
-        "image": prefer_image(_values(own, "photo"), og, always=True),
-        "url": F.array(F.coalesce(_first(own, "url"), page_url)),
-        "ingredients": F.transform(_named(own, "ingredient"), ingredient),
+        **{f: _get(own, name) for f, name in DATA_VOCABULARY_NAMES.items()},
+        **{f: _get(nutrition, name) for f, name in DATA_VOCABULARY_NUTRITION.items()},
+        "aggregateRating": _get(rating, "ratingValue"),
+        "image": prefer_image(_get(own, "photo"), og, always=True),
+        "url": F.array(F.coalesce(_head(_get(own, "url")), page_url)),
+        "ingredients": ingredients,
     }
 
 
+def _ingredient(marks: Column, p: Column) -> Column:
+    """Text of a data-vocabulary ingredient: amount and name, missing parts skipped."""
+    parts = _members(marks, p)
+    return F.when(
+        p["scoped"], F.concat_ws(" ", _first(parts, "amount"), _first(parts, "name"))
+    ).otherwise(p["value"])
+
+
 def microdata_records(nodes: Column, page_url: Column) -> Column:
     """Top-level microdata items as raw records; an unknown item type gives an empty one."""
     og = N.meta_values(N.select_tag(nodes, "meta"), "property", "og:image")
 
-    def item_record(marks: Column, item: Column, og_images: Column) -> Column:
-        own = F.filter(marks, lambda m: (m["item"] == item["pos"]) & m["name"].isNotNull())
+    def item(marks: Column, top: Column, og_images: Column) -> Column:
+        own = _members(marks, top)
+
+        def record(props: Column) -> Column:
+            return X.let(
+                F.struct(
+                    by_name(props).alias("own"),
+                    by_name(_members(marks, _nested(props, "nutrition"))).alias("nutrition"),
+                    by_name(_members(marks, _nested(props, "aggregateRating"))).alias("rating"),
+                    F.transform(
+                        _named(props, "ingredient"), lambda p: _ingredient(marks, p)
+                    ).alias("ingredients"),
+                ),
+                typed,
+            )
 
-        def typed(props: Column) -> Column:
+        def typed(g: Column) -> Column:
+            shared = (g["own"], g["nutrition"], g["rating"], page_url, og_images)
             return (
-                F.when(
-                    item["itemtype"] == SCHEMA_ORG,
-                    raw_struct(_schema_org(marks, props, page_url, og_images)),
-                )
+                F.when(top["itemtype"] == SCHEMA_ORG, raw_struct(_schema_org(*shared)))
                 .when(
-                    item["itemtype"] == DATA_VOCABULARY,
-                    raw_struct(_data_vocabulary(marks, props, page_url, og_images)),
+                    top["itemtype"] == DATA_VOCABULARY,
+                    raw_struct(_data_vocabulary(*shared, g["ingredients"])),
                 )
                 .otherwise(raw_struct({}))
             )
 
-        return X.let(own, typed)
+        return X.let(F.filter(own, lambda m: m["name"].isNotNull()), record)
 
     def page_records(marks: Column) -> Column:
         tops = F.filter(marks, lambda m: m["scoped"] & m["name"].isNull())
         return F.when(
             F.size(tops) > 0,
-            X.let(og, lambda o: F.transform(tops, lambda t: item_record(marks, t, o))),
+            X.let(og, lambda o: F.transform(tops, lambda t: item(marks, t, o))),
         )
 
     return X.let(microdata_marks(nodes), page_records)
@@ -284,9 +309,9 @@ def flat_itemprop_records(
     )
 
     def record(p: Column) -> Column:
-        image = _values(p, "image")
+        image = _get(p, "image")
         fields = {
-            f: _values(p, f)
+            f: _get(p, f)
             for f in [
                 *SCHEMA_ORG_NAMES,
                 *NUTRITION_FIELDS,
@@ -301,13 +326,14 @@ def flat_itemprop_records(
             ]
         }
         fields["image"] = (
-            F.when(F.size(image) > 0, image).otherwise(_values(p, "photo")) if join else image
+            F.when(F.size(image) > 0, image).otherwise(_get(p, "photo")) if join else image
         )
-        fields["url"] = F.concat(lead, _values(p, "url"))
+        none = F.expr("cast(array() as array<string>)")
+        fields["url"] = F.concat(lead, F.coalesce(_get(p, "url"), none))
         return raw_struct(fields)
 
     roots = F.filter(nodes, lambda n: N.attr(n, "itemtype") == itemtype)
-    return F.transform(roots, lambda r: X.let(props(r), record))
+    return F.transform(roots, lambda r: X.let(props(r), lambda p: X.let(by_name(p), record)))
 
 
 def lower_itemprop_records(nodes: Column, page_url: Column) -> Column:

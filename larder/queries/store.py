@@ -69,11 +69,11 @@ def _publishers(spark, sf):
     """Publishers are the suppliers that have a like-numbered source."""
     s = table(spark, sf, "supplier")
     return s.select(
-        F.col("s_suppkey").alias("id"), _t("src", F.col("s_suppkey") * 2).alias("name")
+        F.col("s_suppkey").alias("id"), _t("src", F.col("s_suppkey") * 3).alias("name")
     )
 
 
-PUBLISHERS_SQL = "publishers AS (SELECT s_suppkey AS id, 'src' || CAST(s_suppkey * 2 AS VARCHAR) AS name FROM supplier)"
+PUBLISHERS_SQL = "publishers AS (SELECT s_suppkey AS id, 'src' || CAST(s_suppkey * 3 AS VARCHAR) AS name FROM supplier)"
 
 
 @query(

@@ -48,9 +48,9 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None):
     b = sorted((tuple(_norm(r[c]) for c in cols) for r in want), key=key)
     if len(a) != len(b):
         return False, f"{len(a)} rows vs {len(b)}; e.g. {[x for x in a if x not in set(b)][:2]} / {[x for x in b if x not in set(a)][:2]}"
-    bad = [(x, y) for x, y in zip(a, b) if x != y]
-    if bad:
-        return False, f"{len(bad)} of {len(a)} differ, e.g. {str(bad[0])[:600]}"
+    if a != b:
+        extra, missing = sorted(set(a) - set(b), key=key), sorted(set(b) - set(a), key=key)
+        return False, f"{len(extra)} of {len(a)} differ, e.g.\n   {str(extra[:3])[:700]}\n   {str(missing[:3])[:700]}"
     return True, f"{len(a)} rows equal, {took:.1f}s"
 
 
