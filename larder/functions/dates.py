@@ -128,7 +128,8 @@ def _text_date(c: Column) -> Column:
     for pattern, to in LAYOUTS:
         s = F.regexp_replace(s, pattern, to)
     # anything else left over does not parse
-    return F.date_format(F.try_to_date(F.regexp_extract(s, YMD, 0), "yyyy-M-d"), "yyyy-MM-dd")
+    day = F.nullif(F.regexp_extract(s, YMD, 0), F.lit(""))
+    return F.date_format(F.try_to_date(day, "yyyy-M-d"), "yyyy-MM-dd")
 
 
 def iso_date(col: Column | str) -> Column:

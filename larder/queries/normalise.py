@@ -9,7 +9,7 @@ from larder.functions import ingredients as I
 from larder.functions import text as X
 from larder.functions import urls as U
 from larder.queries import query
-from larder.queries.tables import _t, orders_with_lines, table
+from larder.queries.tables import _t, orders_with_lines, spread, table
 
 
 def _messy():
@@ -162,7 +162,8 @@ FROM orders, (VALUES ('iso'), ('stamp'), ('long'), ('weekday'), ('british'), ('s
 
 @query(DATES_SQL)
 def q_iso_date(spark, sf):
-    rows = table(spark, sf, "orders").select("o_orderkey", _written_dates().alias("w"))
+    orders = spread(table(spark, sf, "orders"), "o_orderkey")
+    rows = orders.select("o_orderkey", _written_dates().alias("w"))
     return rows.select(
         "o_orderkey", F.col("w.style").alias("style"), D.iso_date("w.phrase").alias("day")
     )

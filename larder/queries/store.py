@@ -252,14 +252,15 @@ def q_cleanup_invalid(spark, sf):
 
 
 @query(
-    f"""WITH {STORE_SQL} SELECT id AS _id, url, ts, CASE WHEN {NEW_REASON} IS NULL THEN {CLEAN_NAME} ELSE name END AS name,
+    f"""WITH {STORE_SQL} SELECT id AS _id, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CASE WHEN {NEW_REASON} IS NULL THEN {CLEAN_NAME} ELSE name END AS name,
         CASE WHEN {NEW_REASON} IS NULL THEN trim(regexp_replace(regexp_replace(description, '</?b>', '', 'g'), '[ \\t]+', ' ', 'g')) ELSE description END AS description,
         CAST(CASE WHEN {NEW_REASON} IS NULL THEN len({CLEAN_LINES}) ELSE len(ingredients) END AS BIGINT) AS n_lines FROM store"""
 )
 def q_cleanup_store(spark, sf):
     _, _, new = MT.cleanup(stored_items(spark, sf), update=True)
     return new.select(
-        "_id", "url", "ts", "name", "description", F.size("ingredients").cast("long").alias("n_lines")
+        "_id", "url", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "name", "description",
+        F.size("ingredients").cast("long").alias("n_lines"),
     )
 
 
