@@ -66,11 +66,26 @@ MAX_CHARS = 16_000_000
 ATTR_SLOT = {a.replace("_", "-"): i for i, a in enumerate(NODE_ATTRS)}
 ITEMSCOPE = ATTR_SLOT["itemscope"]
 
+# The optional page index lists element positions by tag ("li"), by the whole value of these
+# attributes ("id=x"), and by the presence of those that rules also test in part ("@class").
+INDEXED_VALUES = frozenset(
+    ["class", "id", "itemprop", "itemtype", "property", "name", "rel", "style"]
+)
+INDEXED_PRESENCE = frozenset(["class", "title"])
+INDEX_TYPE = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
+VALUE_SLOTS = {NODE_ATTRS.index(a): a + "=" for a in INDEXED_VALUES}
+PRESENCE_SLOTS = {NODE_ATTRS.index(a): "@" + a for a in INDEXED_PRESENCE}
+
 
 class NodeColumns:
     """Flat node columns of a batch of pages."""
 
-    def __init__(self) -> None:
+    def __init__(self, index: bool = False) -> None:
+        self.index: dict[str, list[int]] | None = {} if index else None
+        self.index_keys: list[str] = []
+        self.index_positions: list[int] = []
+        self.index_ends: list[int] = [0]
+        self.index_offsets: list[int] = [0]
         self.rows: list[tuple] = []  # pos, parent, depth, item, tag, text
         self.end: list[int] = []
         self.attr_rows: list[list[int]] = [[] for _ in NODE_ATTRS]
@@ -78,7 +93,7 @@ class NodeColumns:
         self.offsets: list[int] = [0]
 
     def add_page(self, html: str) -> None:
-        rows, end = self.rows, self.end
+        rows, end, index = self.rows, self.end, self.index
         base = len(rows)
         stack: list[tuple[str, int, int]] = [("", -1, -1)]  # tag, position, nearest item
 
@@ -135,8 +150,10 @@ class NodeColumns:
             _, parent, item = stack[-1]
             rows.append((here, parent, len(stack) - 1, item, name, None))
             end.append(here)
+            if index is not None:
+                index.setdefault(name, []).append(here)
             if "=" in raw_attrs or "item" in raw_attrs:
-                if self.add_attrs(raw_attrs, base + here):
+                if self.add_attrs(raw_attrs, base + here, here):
                     item = here
             if name in VOID:
                 continue
@@ -151,7 +168,7 @@ class NodeColumns:
             add_text(html[at:])
         pop_to(1)
 
-    def add_attrs(self, raw: str, row: int) -> bool:
+    def add_attrs(self, raw: str, row: int, pos: int) -> bool:
         """Note the known attributes of an element, the first of each name; tells whether
         it opens an item."""
         opens = False
@@ -163,12 +180,37 @@ class NodeColumns:
             seen |= 1 << slot
             value = double or single or bare
             self.attr_rows[slot].append(row)
-            self.attr_values[slot].append(unescape(value) if "&" in value else value)
+            if "&" in value:
+                value = unescape(value)
+            self.attr_values[slot].append(value)
+            if self.index is not None:
+                if slot in VALUE_SLOTS:
+                    self.index.setdefault(VALUE_SLOTS[slot] + value, []).append(pos)
+                if slot in PRESENCE_SLOTS:
+                    self.index.setdefault(PRESENCE_SLOTS[slot], []).append(pos)
             opens = opens or slot == ITEMSCOPE
         return opens
 
     def close_row(self) -> None:
         self.offsets.append(len(self.rows))
+        if self.index is not None:
+            for key, positions in self.index.items():
+                self.index_keys.append(key)
+                self.index_positions.extend(positions)
+                self.index_ends.append(len(self.index_positions))
+            self.index_offsets.append(len(self.index_keys))
+            self.index.clear()
+
+    def index_to_arrow(self) -> pa.Array:
+        positions = pa.ListArray.from_arrays(
+            pa.array(np.asarray(self.index_ends, dtype=np.int32)),
+            pa.array(np.asarray(self.index_positions, dtype=np.int32)),
+        )
+        return pa.MapArray.from_arrays(
+            pa.array(np.asarray(self.index_offsets, dtype=np.int32)),
+            pa.array(self.index_keys, pa.string()),
+            positions,
+        )
 
     def to_arrow(self) -> pa.Array:
         n = len(self.rows)
@@ -191,18 +233,22 @@ class NodeColumns:
         return pa.ListArray.from_arrays(pa.array(np.asarray(self.offsets, dtype=np.int32)), nodes)
 
 
-def shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shred_batches(
+    batches: Iterator[pa.RecordBatch], index: bool = False
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = [i for i, name in enumerate(batch.schema.names) if name != "html"]
         html = batch.column(batch.schema.get_field_index("html"))
-        start, chars, cols = 0, 0, NodeColumns()
+        start, chars, cols = 0, 0, NodeColumns(index)
 
         def flush(stop: int) -> pa.RecordBatch:
             part = batch.slice(start, stop - start)
             arrays = [part.column(i) for i in keep]
-            nodes = cols.to_arrow()
             names = [batch.schema.names[i] for i in keep]
-            return pa.RecordBatch.from_arrays([*arrays, nodes], names=[*names, "nodes"])
+            made = {"nodes": cols.to_arrow()}
+            if index:
+                made["node_index"] = cols.index_to_arrow()
+            return pa.RecordBatch.from_arrays([*arrays, *made.values()], names=[*names, *made])
 
         for row in range(batch.num_rows):
             text = html[row].as_py()
@@ -212,21 +258,29 @@ def shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             cols.close_row()
             if len(cols.rows) >= MAX_NODES or chars >= MAX_CHARS:
                 yield flush(row + 1)
-                start, chars, cols = row + 1, 0, NodeColumns()
+                start, chars, cols = row + 1, 0, NodeColumns(index)
         if start < batch.num_rows:
             yield flush(batch.num_rows)
 
 
-def shred_pages(pages: DataFrame) -> DataFrame:
+def shred_with_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return shred_batches(batches, index=True)
+
+
+def shred_pages(pages: DataFrame, index: bool = False) -> DataFrame:
     """Replace the ``html`` column of a page table by ``nodes ARRAY<STRUCT<...>>``.
 
+    ``index`` adds ``node_index MAP<STRING, ARRAY<INT>>``, element positions by tag and
+    attribute value, for extractions that make many selections on a page.
+
     All other columns pass through, so select only what later steps need: neither a
     filter nor a column list moves below the Python node by itself.
     """
     schema = T.StructType(
         [f for f in pages.schema.fields if f.name != "html"]
         + [T.StructField("nodes", T.ArrayType(NODE_TYPE))]
+        + ([T.StructField("node_index", INDEX_TYPE)] if index else [])
     )
     # Ship this module by value: executors need not have the package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return pages.mapInArrow(shred_batches, schema)
+    return pages.mapInArrow(shred_with_index if index else shred_batches, schema)
