@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master without that setting falls back to a temporary folder.
+    A local session that names none gets one folder, which is then set as its ``spark.checkpoint.dir``.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -18,5 +18,6 @@ def work_folder(spark: SparkSession) -> str:
     if shared:
         return shared.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="larder-")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larder-"))
+        return spark.conf.get("spark.checkpoint.dir")
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
