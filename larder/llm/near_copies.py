@@ -1,10 +1,10 @@
 """SimHash near-copies by deletion-variant signatures.
 
 A 64-bit fingerprint is cut into two segments. Of two fingerprints that differ in at most two bits, one segment
-differs in at most one, so the two share a one-wildcard variant of it: the segment with one position blanked
-out. All variants are indexed and joined on equality; the distance is then verified. A variant that very many
-fingerprints share is not joined with itself: a second wildcard splits it into groups of at most four
-fingerprints, whose members are all linked, so the work stays in proportion to the rows.
+differs in at most one, so the two segments are equal or become equal when one bit is deleted. The variants
+with one bit deleted are indexed and joined on equality; the distance is then verified. A segment that very
+many fingerprints share is not joined so: a second wildcard splits its fingerprints into groups of at most
+four, whose members are all linked, so the work stays in proportion to the rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from larder.llm.graph import components
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-#: Fingerprints of one variant that are compared pair by pair; above it, a second wildcard divides them.
+#: Fingerprints with one segment that are compared pair by pair; above it, a second wildcard divides them.
 PAIRWISE = 48
 WORD = re.compile(r"[^ \t-\r]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,75 +67,67 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprint_pass(size), f"doc_id {kind}, fp bigint")
 
 
-def _masked(value: Column, positions: Column) -> Column:
-    return value.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("bigint"), positions)))
+def _bit(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
 
 
-def _halves(fp: Column) -> tuple[Column, Column]:
-    low = fp.bitwiseAND(F.lit(0xFFFFFFFF))
-    return low, F.shiftrightunsigned(fp, 32)
+def _without(value: Column, position: Column) -> Column:
+    return value.bitwiseAND(F.bitwise_not(_bit(position)))
 
 
-def _variants(prints: DataFrame) -> DataFrame:
-    """(key, fp): 32 one-wildcard variants of each half, the half and the position packed with the rest."""
-    low, high = _halves(F.col("fp"))
-    spots = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("spot")
-    rows = prints.select("fp", low.alias("low"), high.alias("high"), spots)
-    half = F.when(F.col("spot") < 32, F.col("low")).otherwise(F.col("high"))
-    key = _masked(half, F.col("spot") % 32) + F.shiftleft(F.col("spot").cast("bigint"), 32)
-    return rows.select(key.alias("key"), "fp")
+def _segments(prints: DataFrame) -> DataFrame:
+    """(part, value, other, fp): both halves of every fingerprint, each with the other half."""
+    low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
+    parts = F.array(F.struct(F.lit(0).alias("part"), low.alias("value"), high.alias("other")), F.struct(F.lit(1).alias("part"), high.alias("value"), low.alias("other")))
+    return prints.select("fp", F.explode(parts).alias("p")).select("p.*", "fp")
+
+
+def _key(part: Column, value: Column) -> Column:
+    return value + F.shiftleft(part.cast("bigint"), 32)
 
 
 def near_pairs(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints ``prints(fp)`` that hold each component together.
+    """Links (a, b) between the distinct fingerprints ``prints(fp)``.
 
-    Every two fingerprints with at most two differing bits are linked directly, or are both linked to a
-    third one within the same distance of both. A variant is first counted (a combining aggregate with its
-    least and greatest member, which already is the whole pair for two members); only rows of variants
-    with more members are read again.
+    Of two segments that differ in one bit, one becomes the other by deleting a set bit. So every segment is
+    filed as it is, and once for each set bit without it, and the segments as they are look themselves
+    up among both kinds. Every two fingerprints with at most two differing bits are linked directly,
+    or, under a segment that more than ``PAIRWISE`` fingerprints have, both to a third one near both.
     """
-    rows = _variants(prints)
-    counted = cut(
-        rows.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"),
-        "variants",
-    )
+    exact = _segments(prints)
+    bits = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda i: F.col("value").bitwiseAND(_bit(i)) != 0)
+    deleted = exact.select("part", "value", "other", "fp", F.explode(bits).alias("bit"))
+    deleted = deleted.select(_key(F.col("part"), _without(F.col("value"), F.col("bit"))).alias("key"), "other", "fp", "bit")
+    exact = exact.select(_key(F.col("part"), F.col("value")).alias("key"), "other", "fp")
+    crowded = cut(exact.groupBy("key").count().where(F.col("count") > PAIRWISE).select("key"), "crowded")
+
+    filed = exact.select("key", "fp").union(deleted.select("key", "fp")).select("key", F.col("fp").alias("b"))
+    few = exact.join(crowded, "key", "left_anti").select("key", F.col("fp").alias("a"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
-    twos = counted.where("n = 2").where(close).select("a", "b").distinct()
-
-    busy = counted.where("n > 2").select("key", "n")
-    members = cut(rows.join(busy, "key"), "members")
-    few = members.where(F.col("n") <= PAIRWISE).select("key", "fp")
-    pairs = (
-        few.select("key", F.col("fp").alias("a"))
-        .join(few.select("key", F.col("fp").alias("b")), "key")
-        .where((F.col("a") < F.col("b")) & close)
-        .select("a", "b").distinct()
-    )
-    return twos.union(pairs).union(_second_wildcard(members.where(F.col("n") > PAIRWISE).select("key", "fp"))).distinct()
-
-
-def _second_wildcard(rows: DataFrame) -> DataFrame:
-    """Links within variants of very many members.
-
-    Members of a variant differ in its wildcard or not at all in its half. They are near if the other half
-    differs in one bit at most (one further wildcard there), or if their halves agree and the other half
-    differs in two (two further wildcards; looked for only in the variant with the first wildcard). Each
-    such group leaves two bits open, so it has at most four members, all near one another.
+    pairs = few.join(filed, "key").where((F.col("a") != F.col("b")) & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.union(_second_wildcard(exact.join(crowded, "key"), deleted.join(crowded, "key"))).distinct()
+
+
+def _second_wildcard(exact: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Links under segments that very many fingerprints have.
+
+    Two that share the segment are near if their other halves differ in two bits at most: they share a variant
+    of it with two wildcards. One that has the segment but for a further bit is near if the other halves
+    differ in one bit at most: they share a variant with one wildcard. Each group of equal variants leaves
+    two bits of the fingerprint open, so it has at most four members, all near one another.
     """
-    spot = F.shiftright("key", 32)
-    low, high = _halves(F.col("fp"))
-    other = F.when(spot < 32, high).otherwise(low)
-    base = rows.select("key", "fp", spot.alias("spot"), other.alias("other"))
-    one = base.select(F.explode(F.sequence(F.lit(0), F.lit(31))).alias("i"), "*").select(
-        "key", F.lit(-1).cast("bigint").alias("same"), "i", F.lit(-1).alias("j"), _masked(F.col("other"), F.col("i")).alias("rest"), "fp"
-    )
+    spots, other = F.sequence(F.lit(0), F.lit(31)), F.col("other")
     both = F.expr("filter(flatten(transform(sequence(0, 31), i -> transform(sequence(0, 31), j -> struct(i, j)))), p -> p.i < p.j)")
-    same = F.when(F.col("spot") < 32, low).otherwise(high)
-    two = base.where((F.col("spot") % 32) == 0).select("key", same.alias("same"), "other", "fp", F.explode(both).alias("p")).select(
-        "key", "same", F.col("p.i").alias("i"), F.col("p.j").alias("j"), _masked(_masked(F.col("other"), F.col("p.i")), F.col("p.j")).alias("rest"), "fp"
+    none = F.lit(-1)
+    shared = exact.select("key", "other", "fp", F.explode(both).alias("p")).select(
+        "key", none.alias("bit"), F.col("p.i").alias("i"), F.col("p.j").alias("j"), _without(_without(other, F.col("p.i")), F.col("p.j")).alias("rest"), "fp"
     )
-    groups = one.union(two).groupBy("key", "same", "i", "j", "rest").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
-    return groups.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b").distinct()
+    unset = F.filter(spots, lambda i: F.col("key").bitwiseAND(_bit(i)) == 0)
+    mine = exact.select("key", "other", "fp", F.explode(unset).alias("bit"))
+    one = mine.union(deleted.select("key", "other", "fp", "bit")).select("*", F.explode(spots).alias("i"))
+    one = one.select("key", "bit", "i", none.alias("j"), _without(other, F.col("i")).alias("rest"), "fp")
+    groups = shared.union(one).groupBy("key", "bit", "i", "j", "rest").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
+    return groups.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b")
 
 
 def near_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
