@@ -19,15 +19,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import by_blocks
-from larder.llm.ragged import PieceIds, take_runs
+from larder.llm.ragged import PieceIds, flattened, take_runs
 
-#: White space as the tokenizer's own pattern has it; str.split() also takes the four separators 1C to 1F.
-SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: White space as the tokenizer's own pattern has it, and what of it is neither a space nor a line end.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+RARE_SPACES = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A full stop or comma that does not follow a letter or digit of a fixed, old range.
 LOOSE_MARK = re.compile(r"[.,](?=[ \n])(?<![0-9A-Za-zÀ-ÖØ-öø-ɏ][.,])")
@@ -201,8 +202,8 @@ class WordEncoder:
             chunk = self.library.normalizer.normalize_str(chunk)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
 
-    def encode_chunks(self, chunks: list[str]) -> Iterator[list[int]]:
-        """Ids of every chunk, whose words are encoded once each."""
+    def encode_chunks(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The chunks, their ids one after the other and the number of each; a word is encoded once."""
         split, words = [], {}
         for chunk in chunks:
             parts = []
@@ -214,11 +215,11 @@ class WordEncoder:
                     parts.extend(words.setdefault(w, len(words)) for w in self.words_of(piece))
             split.append(parts)
         ids = self.encode_words(list(words))
-        for parts in split:
-            if len(parts) == 1 and parts[0] >= 0:
-                yield ids[parts[0]]
-            else:
-                yield [t for p in parts for t in (ids[p] if p >= 0 else [-1 - p])]
+        lists = [
+            ids[parts[0]] if len(parts) == 1 and parts[0] >= 0 else [t for p in parts for t in (ids[p] if p >= 0 else [-1 - p])]
+            for parts in split
+        ]
+        return chunks, *flattened(lists)
 
 
 @cache
@@ -240,16 +241,20 @@ def _names(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(names), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def chunks_of(text: str) -> list[str]:
-    """A text cut at white space, and before the full stop or comma that ends a word."""
-    if not LOOSE_MARK.search(text):
-        text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
-    return [c for c in SPACES.split(text) if c] if SEPARATORS.search(text) else text.split()
+def chunks_of(texts: list[str | None]) -> pa.ListArray:
+    """Texts cut at white space, and before the full stop or comma that ends a word; some chunks are empty."""
+    plain = [SPACES.sub(" ", t) if t and RARE_SPACES.search(t) else t or "" for t in texts]
+    loose = [LOOSE_MARK.search(t) is not None for t in plain]
+    whole = pa.array(plain, pa.large_string())
+    ends = pc.replace_substring(pc.replace_substring(whole, ". ", " . "), ", ", " , ")
+    ends = pc.replace_substring(ends, ".\n", " .\n")
+    marked = pc.if_else(pa.array(loose), whole, ends) if any(loose) else ends
+    return pc.split_pattern(pc.replace_substring(marked, "\n", " "), " ")
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids of every whole text; a null text is empty."""
-    return _pieces(path).ids([chunks_of(text or "") for text in texts])
+    return _pieces(path).ids(chunks_of(texts))
 
 
 def decode_ids(ids: np.ndarray, path: str) -> bytes:

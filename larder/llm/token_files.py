@@ -16,30 +16,34 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks
-from larder.llm.ragged import PieceIds
+from larder.llm.common import by_blocks, cut
+from larder.llm.ragged import PieceIds, flattened
 
 END_ID = 0
 #: A full stop or comma that does not follow a letter or digit of a fixed, old range.
 LOOSE_MARK = re.compile(r"[.,](?=[ \n])(?<![0-9A-Za-zÀ-ÖØ-öø-ɏ][.,])")
 CUT = "\x00"
+#: Distinct pieces that a worker remembers, about 250 bytes each.
+PIECES = 1_000_000
 
 
-def cut_text(text: str) -> list[str]:
-    """Pieces of a text, cut where the pre-tokeniser of a byte-level BPE always cuts.
+def cut_texts(texts: list[str], loose: list[bool]) -> pa.ListArray:
+    """Pieces of the texts, cut where the pre-tokeniser of a byte-level BPE always cuts.
 
     These are: before a single space between non-space characters, around a line end between such
-    characters, and between a letter or digit and the full stop or comma that ends a word. The cuts are
-    right if ``regular`` holds for every piece.
+    characters, and, in texts that are not ``loose``, between a letter or digit and the full stop or comma
+    that ends a word. The cuts are right if ``regular`` holds for every piece.
     """
-    marked = text.replace(" ", CUT + " ")
-    if not LOOSE_MARK.search(text):
-        marked = marked.replace("." + CUT, CUT + "." + CUT).replace("," + CUT, CUT + "," + CUT)
-        marked = marked.replace(".\n", CUT + ".\n")
-    return marked.replace("\n", CUT + "\n" + CUT).split(CUT)
+    whole = pa.array(texts, pa.large_string())
+    marked = pc.replace_substring(whole, " ", CUT + " ")
+    ends = pc.replace_substring(pc.replace_substring(marked, "." + CUT, CUT + "." + CUT), "," + CUT, CUT + "," + CUT)
+    ends = pc.replace_substring(ends, ".\n", CUT + ".\n")
+    marked = pc.if_else(pa.array(loose), marked, ends) if any(loose) else ends
+    return pc.split_pattern(pc.replace_substring(marked, "\n", CUT + "\n" + CUT), CUT)
 
 
 def regular(piece: str) -> bool:
@@ -61,21 +65,21 @@ def _pieces(path: str) -> tuple[PieceIds, Callable]:
     def whole(texts: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(pieces: list[str]) -> Iterator[np.ndarray]:
+    def encode(pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Many pieces in one text, with tabs between, which are tokens of their own there."""
-        plain = [i for i, p in enumerate(pieces) if "\t" not in p and p != "\n"]
-        out: list = [None] * len(pieces)
-        for start in range(0, len(plain), 500):
-            some = plain[start : start + 500]
-            ids = np.array(whole(["\t".join(pieces[i] for i in some)])[0], np.int32)
-            for i, part in zip(some, np.split(ids, np.flatnonzero(ids == tab)), strict=True):
-                out[i] = part[1:] if i != some[0] else part
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, whole([pieces[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+        alone = [p for p in pieces if "\t" in p or p == "\n"]
+        plain = [p for p in pieces if "\t" not in p and p != "\n"]
+        joined = ["\t".join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+        ids, sizes = [], []
+        for some in whole(joined):
+            some = np.array(some, np.int32)
+            ends = np.flatnonzero(some == tab)
+            sizes.append(np.diff(np.concatenate([[-1], ends, [len(some)]])) - 1)
+            ids.append(some[some != tab])
+        rest, rest_sizes = flattened(whole(alone))
+        return plain + alone, np.concatenate([*ids, rest]), np.concatenate([*sizes, rest_sizes])
 
-    return PieceIds(encode, fits=regular), whole
+    return PieceIds(encode, PIECES, regular), whole
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
@@ -85,9 +89,12 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
     piece in one go.
     """
     pieces, whole = _pieces(path)
-    out = pieces.ids([[t] if t and CUT in t else cut_text(t) if t else [] for t in texts])
+    odd = [bool(t) and CUT in t for t in texts]
+    fit = ["" if o else t or "" for t, o in zip(texts, odd, strict=True)]
+    out = pieces.ids(cut_texts(fit, [LOOSE_MARK.search(t) is not None for t in fit]))
+    out = [None if o or not t else x for t, o, x in zip(texts, odd, out, strict=True)]
     alone = [i for i, ids in enumerate(out) if ids is None]
-    for i, ids in zip(alone, whole([texts[i] for i in alone]), strict=True):
+    for i, ids in zip(alone, whole([texts[i] or "" for i in alone]), strict=True):
         out[i] = np.array(ids, np.int32)
     return out
 
@@ -95,7 +102,7 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
 def _encode_pass(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
-        for batch in by_blocks(batches, "text"):
+        for batch in by_blocks(batches, "text", 4_000_000):
             lists = [np.append(x, end_id) for x in encode_texts(batch["text"].to_pylist(), path)]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             ends = np.cumsum(sizes)
@@ -150,7 +157,8 @@ def read_token_files(spark: SparkSession, folder: str, where: Column | None = No
     before = F.sum("total").over(
         Window.orderBy(F.desc("unknown"), "least").rowsBetween(Window.unboundedPreceding, -1)
     )
-    bases = totals.select("file", F.coalesce(before, F.lit(0)).alias("base"))
+    # written, so that the planner knows how small it is and need not shuffle the ids for the join
+    bases = cut(totals.select("file", F.coalesce(before, F.lit(0)).alias("base")), "bases")
     rows = files if where is None else files.where(where)
     return rows.join(bases, "file").select(
         "doc_id", "ids", "n_tokens", (F.col("base") + F.col("offset")).alias("start")
