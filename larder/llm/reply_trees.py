@@ -51,38 +51,33 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         .select("tree", "node", F.col("m.parent").alias("parent"), F.col("m.score").alias("score"))
     )
     known = nodes.select("tree", "node")
-    jumps = [
-        cut(
-            nodes.alias("n").join(known.alias("p"), _same("n", "p") & F.expr("n.parent = p.node"), "left")
-            .select("n.tree", "n.node", F.col("p.node").alias("up"), F.lit(1).cast("bigint").alias("steps"), "n.score"),
+    first = cut(
+        nodes.alias("n").join(known.alias("p"), _same("n", "p") & F.expr("n.parent = p.node"), "left")
+        .select("n.tree", "n.node", F.col("p.node").alias("up"), F.lit(1).cast("bigint").alias("steps"), "n.score"),
+        "jumps",
+    )
+    # messages whose way to the root is known, with depth and branch score; jumps[k] lead 2^k messages up
+    whole, jumps = first.where("up IS NULL"), [first.where("up IS NOT NULL")]
+    left = [None, jumps[0].count()]
+    while left[-1] not in (0, left[-2]):  # a round that settles no message is left with circles only
+        states = whole.union(jumps[-1])
+        further = jumps[-1].alias("n").join(states.alias("p"), _same("n", "p") & F.expr("n.up = p.node"))
+        reached = cut(
+            further.select(
+                "n.tree", "n.node", F.col("p.up").alias("up"),
+                (F.col("n.steps") + F.col("p.steps")).alias("steps"), (F.col("n.score") + F.col("p.score")).alias("score"),
+            ),
             "jumps",
-        )
-    ]
-    open_before = None
-    while True:
-        last = jumps[-1]
-        open_now = last.where("up IS NOT NULL").count()
-        if open_now in (0, open_before):
-            break
-        open_before = open_now
-        further = last.alias("n").join(last.alias("p"), _same("n", "p") & F.expr("n.up = p.node"), "left")
-        jumps.append(
-            cut(
-                further.select(
-                    "n.tree", "n.node", F.col("p.up").alias("up"),
-                    (F.col("n.steps") + F.coalesce("p.steps", F.lit(0))).alias("steps"),
-                    (F.col("n.score") + F.coalesce("p.score", F.lit(0.0))).alias("score"),
-                ),
-                "jumps",
-            )
         )
-    whole = jumps[-1].where("up IS NULL")  # depth and branch score of every message that hangs on a root
-    inner = jumps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+        whole = whole.union(reached.where("up IS NULL"))
+        jumps.append(reached.where("up IS NOT NULL"))
+        left.append(jumps[-1].count())
+    inner = jumps[0].select("tree", F.col("up").alias("node")).distinct()
     leaves = whole.alias("n").join(inner.alias("p"), _same("n", "p") & F.expr("n.node = p.node"), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("steps")), F.desc("steps"), "node")
     path = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches).select("tree", "branch", "node")
-    for jump in reversed(jumps[:-1] or []):
-        up = path.alias("n").join(jump.where("up IS NOT NULL").alias("p"), _same("n", "p") & F.expr("n.node = p.node"))
+    for jump in reversed(jumps[:-1]):
+        up = path.alias("n").join(jump.alias("p"), _same("n", "p") & F.expr("n.node = p.node"))
         path = cut(path.union(up.select("n.tree", "n.branch", F.col("p.up").alias("node"))), "path")
     placed = path.alias("n").join(whole.alias("p"), _same("n", "p") & F.expr("n.node = p.node"))
     return placed.select("n.tree", "n.branch", F.col("p.steps").alias("place"), "n.node")
