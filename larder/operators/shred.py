@@ -4,7 +4,10 @@ The only Python worker code of the package. One Arrow pass tokenises each page w
 regular expression and writes the node columns directly as Arrow arrays; everything after
 it is Column work in the JVM. Broken markup is read leniently: void elements never nest,
 ``p``/``li``/``td``/``tr``/``dt``/``dd``/``option`` end where the next block or sibling
-begins, unclosed elements end with their parent, unknown end tags are ignored.
+begins, unclosed elements end with their parent, unknown end tags are ignored. A start tag that
+ends in ``/>`` is an empty element, and pages without ``html`` or ``body`` tags get these elements.
+The time per page grows with its length, whatever the markup: the open elements are also
+kept by name, so no end is looked for by walking up the tree.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
+# A slash at the end of a start tag that belongs to a value without quotes.
+BARE_SLASH = re.compile(r"=\s*[^\s\"']*/$")
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 # Element classes of HTML.
@@ -54,6 +59,10 @@ IMPLIED_END = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+# Elements that come before the body, and tags that make a page of frames, which has none.
+HEAD = frozenset("title meta link script style base noscript template".split())
+FRAMES = frozenset("frameset frame noframes".split())
+HAS_HTML, HAS_BODY = (re.compile(rf"<{t}[\s/>]", re.I) for t in ("html", "body"))
 P_END = (frozenset(["p"]), frozenset(["table", "td", "th", "button", "object", "body"]))
 # An end tag does not reach beyond these, unless it names one of them.
 END_BARRIER = frozenset(["table", "td", "th"])
@@ -96,21 +105,43 @@ class NodeColumns:
         rows, end, index = self.rows, self.end, self.index
         base = len(rows)
         stack: list[tuple[str, int, int]] = [("", -1, -1)]  # tag, position, nearest item
+        open_at: dict[str, list[int]] = {}  # tag -> its places in the stack
 
         def pop_to(size: int) -> None:
             last = len(rows) - base - 1
-            for _, p, _ in stack[size:]:
+            for tag, p, _ in reversed(stack[size:]):
                 end[base + p] = last
+                open_at[tag].pop()
             del stack[size:]
 
+        def nearest(tags) -> int:
+            """Place in the stack of the innermost open element of these; 0 if there is none."""
+            return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+
         def close_implied(ends: frozenset, stops: frozenset) -> None:
-            for i in range(len(stack) - 1, 0, -1):
-                open_tag = stack[i][0]
-                if open_tag in ends:
-                    pop_to(i)
-                    return
-                if open_tag in stops:
-                    return
+            at = nearest(ends)
+            if at and at > nearest(stops):
+                pop_to(at)
+
+        def push(name: str, here: int, item: int) -> None:
+            open_at.setdefault(name, []).append(len(stack))
+            stack.append((name, here, item))
+
+        def add_missing(name: str) -> None:
+            here = len(rows) - base
+            _, parent, item = stack[-1]
+            rows.append((here, parent, len(stack) - 1, item, name, None))
+            end.append(here)
+            if index is not None:
+                index.setdefault(name, []).append(here)
+            push(name, here, item)
+
+        def need_body() -> bool:
+            """Close an open head and open the body that the page leaves out."""
+            if open_at.get("head"):
+                pop_to(nearest(["head"]))
+            add_missing("body")
+            return False
 
         def add_text(raw: str, decode: bool = True) -> None:
             here = len(rows) - base
@@ -119,29 +150,36 @@ class NodeColumns:
             rows.append((here, parent, len(stack) - 1, item, "#text", text))
             end.append(here)
 
+        no_body = not HAS_BODY.search(html)
+        if not HAS_HTML.search(html):
+            add_missing("html")
         at, size, search = 0, len(html), TOKEN.search
-        while at < size:
+        last_tag = html.rfind(">")
+        while at <= last_tag or html.find("<!--", at) >= 0:
             m = search(html, at)
             if m is None:
                 break
             if m.start() > at:
-                add_text(html[at : m.start()])
+                raw = html[at : m.start()]
+                if no_body and not raw.isspace() and stack[-1][0] in ("", "html", "head"):
+                    no_body = need_body()
+                add_text(raw)
             at = m.end()
             kind = m.lastindex
             if kind is None:
                 continue
             if kind == 1:
-                name = m[1].lower()
-                for i in range(len(stack) - 1, 0, -1):
-                    open_tag = stack[i][0]
-                    if open_tag == name:
-                        pop_to(i)
-                        break
-                    if open_tag in END_BARRIER:
-                        break
+                place = nearest([m[1].lower()])
+                if place and place >= nearest(END_BARRIER):
+                    pop_to(place)
                 continue
             name = m[kind - 1].lower()
             raw_attrs = m[kind]
+            if no_body and name not in ("html", "head"):
+                if name in FRAMES:
+                    no_body = False
+                elif name not in HEAD:
+                    no_body = need_body()
             if name in CLOSES_P:
                 close_implied(*P_END)
             if name in IMPLIED_END:
@@ -155,9 +193,9 @@ class NodeColumns:
             if "=" in raw_attrs or "item" in raw_attrs:
                 if self.add_attrs(raw_attrs, base + here, here):
                     item = here
-            if name in VOID:
+            if name in VOID or raw_attrs.endswith("/") and not BARE_SLASH.search(raw_attrs):
                 continue
-            stack.append((name, here, item))
+            push(name, here, item)
             if name in RAW_TEXT:
                 close = RAW_TEXT[name].search(html, at)
                 stop = close.start() if close else size
@@ -165,6 +203,8 @@ class NodeColumns:
                     add_text(html[at:stop], decode=False)
                 at = stop
         if at < size:
+            if no_body and not html[at:].isspace() and stack[-1][0] in ("", "html", "head"):
+                need_body()
             add_text(html[at:])
         pop_to(1)
 

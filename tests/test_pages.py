@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from larder.functions import nodes as N
 from larder.operators import links as L
 from larder.operators import microdata as M
 from larder.operators.records import extract_records, normalize_records
-from larder.operators.shred import shred_pages
+from larder.operators.shred import NodeColumns, shred_pages
 from larder.operators.site_extract import site_extract
 from larder.plans import link_rules, pipeline
 from larder.plans.site_rules import SITES
@@ -35,11 +37,42 @@ def tree(spark, html):
 def test_lenient_tree(spark):
     got = tree(spark, "<UL><li>a<li>b<br>c</ul><p>x<p><b>y<div>z</div></i><!-- <q> --><script>if(a<b)'</p>'</script>&amp;t")
     assert [(t, p) for _, p, _, t, _ in got] == [
-        ("ul", -1), ("li", 0), ("#text", 1), ("li", 0), ("#text", 3), ("br", 3), ("#text", 3),
-        ("p", -1), ("#text", 7), ("p", -1), ("b", 9), ("#text", 10), ("div", -1), ("#text", 12),
-        ("script", -1), ("#text", 14), ("#text", -1),
+        ("html", -1), ("body", 0),
+        ("ul", 1), ("li", 2), ("#text", 3), ("li", 2), ("#text", 5), ("br", 5), ("#text", 5),
+        ("p", 1), ("#text", 9), ("p", 1), ("b", 11), ("#text", 12), ("div", 1), ("#text", 14),
+        ("script", 1), ("#text", 16), ("#text", 1),
+    ]
+    assert got[2][2] == 8 and got[-1][4] == "&t" and got[17][4] == "if(a<b)'</p>'"
+
+
+def test_empty_elements_and_missing_tags(spark):
+    got = tree(spark, "<title>t</title><script src='a'/><p>x<span class=\"k\"/>y<a href=x/>z</a><div id=d />w")
+    assert [(t, p) for _, p, _, t, _ in got] == [
+        ("html", -1), ("title", 0), ("#text", 1), ("script", 0), ("body", 0), ("p", 4), ("#text", 5), ("span", 5),
+        ("#text", 5), ("a", 5), ("#text", 9), ("div", 4), ("#text", 4),
     ]
-    assert got[0][2] == 6 and got[-1][4] == "&t" and got[15][4] == "if(a<b)'</p>'"
+    whole = tree(spark, "<html><head><title>t</title></head>\n<body><p>x</body></html>")
+    assert [t for *_, t, _ in whole] == ["html", "head", "title", "#text", "#text", "body", "p", "#text"]
+
+
+def test_item_with_empty_elements(spark):
+    html = """<head><script src="s.js"/></head><article itemscope itemtype="http://data-vocabulary.org/Recipe"><h1 itemprop="name">Pie</h1>
+      <script type="t" src="x"/><img itemprop="photo" src="/a.jpg"/><span itemprop="prepTime" datetime="PT5M"/>
+      <ul><li itemprop="ingredient"><span itemprop="amount"><span class="value">2</span><span class="type"/></span> <span itemprop="name">eggs</span></li>
+      <li itemprop="ingredient"><span itemprop="amount"><span class="value">1</span><span class="type"/></span> <span itemprop="name">onion</span></li></ul></article>"""
+    raw = extract_records(shred_pages(pages(spark, ("food", html))), M.microdata_records)
+    ((name, ingredients, prep),) = records(raw, "name", "ingredients", "prepTime")
+    assert name == "Pie" and len(ingredients) == 2 and prep == "PT5M"
+
+
+@pytest.mark.parametrize("part, tail", [("<a ", ""), ("<div>", ""), ("<b></i>", ""), ("<a '>\"", ""), ("<p><table><td><div>", ""), ("<!-", ">")])
+def test_time_grows_with_the_page(part, tail):
+    def seconds(n):
+        start = time.process_time()
+        NodeColumns().add_page(part * n + tail)
+        return time.process_time() - start
+
+    assert min(seconds(40_000) for _ in range(2)) < 40 * max(min(seconds(4_000) for _ in range(3)), 0.005)
 
 
 @pytest.mark.parametrize("html", ["", "<", "<a", "<a href='x", "</p></div>", "<!-- open", "<p", "a < b > c", "<a b='1\" c>x</a>", None])
@@ -50,14 +83,14 @@ def test_broken_markup_never_fails(spark, html):
 
 def test_attributes(spark):
     d = shred_pages(pages(spark, ("s", "<img SRC=a.jpg data-lazy-src='b&amp;c' class='x  y' class=z itemscope>")))
-    n = d.select(F.col("nodes")[0]["attrs"].alias("a")).first().a
+    n = d.select(F.col("nodes")[2]["attrs"].alias("a")).first().a
     assert (n.src, n.data_lazy_src, n["class"], n.itemscope, n.id) == ("a.jpg", "b&c", "x  y", "", None)
 
 
 def test_large_pages_are_cut_into_batches(spark):
     html = "<p>x" * 150_000
     rows = shred_pages(pages(spark, ("s", html), ("s", html), ("s", "<b>1"))).select("page_id", F.size("nodes").alias("n"))
-    assert sorted((r.page_id, r.n) for r in rows.collect()) == [(0, 300_000), (1, 300_000), (2, 2)]
+    assert sorted((r.page_id, r.n) for r in rows.collect()) == [(0, 300_002), (1, 300_002), (2, 4)]
 
 
 MICRODATA = """<meta property="og:image" content="//i/1.png"><div itemscope itemtype="http://schema.org/Recipe">
