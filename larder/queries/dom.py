@@ -273,14 +273,14 @@ def _graph(spark, sf):
       SELECT CAST(0 AS BIGINT), 0
       UNION ALL
       SELECT c.i, w.depth + 1 FROM walk w JOIN lists l ON l.i = w.i
-      CROSS JOIN LATERAL (VALUES (w.i * 2 + 1), (w.i * 2 + 2)) c(i) WHERE w.depth < 8
+      CROSS JOIN LATERAL (VALUES (w.i * 2 + 1), (w.i * 2 + 2)) c(i)
     ),
     reached AS (
       SELECT 'http://parts.example.com/list/' || CAST(i AS VARCHAR) AS url, depth,
              'follow' AS action FROM walk
       UNION ALL
       SELECT 'http://parts.example.com/recipe/' || CAST(p_partkey AS VARCHAR), depth + 1, 'parse'
-      FROM walk JOIN part ON p_partkey // 10 = i WHERE depth < 8
+      FROM walk JOIN part ON p_partkey // 10 = i
     )
     SELECT url, CAST(depth AS INTEGER) AS depth, action FROM reached"""
 )
@@ -292,7 +292,7 @@ def q_link_reach(spark, sf):
     ]
     links = L.extract_links(shred_pages(graph)).withColumn("source", F.lit("parts"))
     starts = spark.createDataFrame([("http://parts.example.com/list/0",)], "url string")
-    return L.link_reach(L.route_links(links, rules), starts, max_depth=8)
+    return L.link_reach(L.route_links(links, rules), starts)
 
 
 @query(
@@ -336,9 +336,10 @@ def _feeds(spark, sf):
         F.explode(F.array(F.lit("item"), F.lit("origlink"), F.lit("any"))).alias("variant"),
         _xml_text(F.col("url")).alias("u"),
     )
+    prefix = F.when(F.col("host").startswith("m."), "odd-one").otherwise("feedburner")
     item = F.when(
         F.col("variant") == "origlink",
-        _t("<item><title>t</title><link>http://proxy.example.com/</link><feedburner:origLink>", F.col("u"), "</feedburner:origLink></item>"),
+        _t("<item><title>t</title><link>http://proxy.example.com/</link><", prefix, ":origLink>", F.col("u"), "</", prefix, ":origLink></item>"),
     ).otherwise(_t("<item><title>t</title><link> ", F.col("u"), "\n</link></item>"))
     docs = rows.groupBy("host", "variant").agg(
         F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"),
@@ -359,19 +360,21 @@ def _feeds(spark, sf):
 @query(
     f"""WITH h AS (SELECT DISTINCT {HOST_SQL} AS host, url FROM pages)
     SELECT DISTINCT 'http://' || host || '/feed/' || variant AS feed_url, url AS link FROM h, (VALUES ('item'), ('origlink'), ('any')) v(variant)
+      WHERE NOT (host LIKE 'www.%' AND variant = 'origlink')
     UNION ALL SELECT DISTINCT 'http://' || host || '/feed/any', 'http://' || host || '/' FROM h WHERE host NOT LIKE 'www.%'"""
 )
 def q_feed_links(spark, sf):
-    return feeds.feed_links(_feeds(spark, sf))
+    """Anchors of broken documents count for two variants; for the third they are adverts."""
+    return feeds.feed_links(_feeds(spark, sf), fallback=F.col("variant") != "origlink")
 
 
 @query(
-    f"""SELECT p.page_id, p.url FROM pages p"""
+    f"""SELECT page_id, url FROM pages WHERE {HOST_SQL} NOT LIKE 'www.%'"""
 )
 def q_feed_pages(spark, sf):
     from larder.plans.pipeline import feed_pages
 
-    links = feeds.feed_links(_feeds(spark, sf))
+    links = feeds.feed_links(_feeds(spark, sf).filter("variant = 'origlink'"))
     return feed_pages(links, table(spark, sf, "pages")).select("page_id", "url")
 
 
@@ -381,20 +384,29 @@ def q_feed_pages(spark, sf):
         OR (top = 'example.net' AND regexp_matches(url, '/.+') AND NOT regexp_matches(url, '[?]')))"""
 )
 def q_sitemap_urls(spark, sf):
-    """One sitemap per host, one index per top domain; the .org index is malformed."""
+    """One sitemap per host, listed by one of several parts of the index of a top domain.
+
+    Parts name the index they are named in, a circle; the .org index is malformed.
+    """
     pages = table(spark, sf, "pages").select(url_host("url").alias("host"), _xml_text(F.col("url")).alias("u"))
     pages = pages.withColumn("top", F.regexp_extract("host", r"example\.[a-z]+$", 0))
     site = _t("http://", F.col("host"), "/sitemap.xml")
     maps = pages.groupBy("host").agg(
         F.array_join(F.array_sort(F.collect_list(_t("<url><loc>", F.col("u"), "</loc></url>"))), "").alias("x")
     ).select(site.alias("sitemap_url"), _t('<?xml version="1.0"?><urlset>', F.col("x"), "</urlset>").alias("xml"))
+    top, part = _t("http://", F.col("top"), "/index.xml"), F.pmod(F.xxhash64("host"), F.lit(5))
+    name = _t("http://", F.col("top"), "/part-", part, ".xml")
+    listed = lambda c: _t("<sitemap><loc>", c, "</loc></sitemap>")
+    parts = pages.groupBy("top", name.alias("sitemap_url")).agg(F.array_join(F.array_sort(F.collect_set(listed(site))), "").alias("x")).select(
+        "sitemap_url", _t("<sitemapindex>", listed(top), F.col("x"), "</sitemapindex>").alias("xml")
+    )
     index = pages.groupBy("top").agg(
-        F.array_join(F.array_sort(F.collect_set(_t("<sitemap><loc>", site, "</loc></sitemap>"))), "").alias("x")
+        F.array_join(F.array_sort(F.collect_set(listed(name))), "").alias("x")
     ).select(
-        _t("http://", F.col("top"), "/index.xml").alias("sitemap_url"),
+        top.alias("sitemap_url"),
         F.when(F.col("top") == "example.org", "<sitemapindex><sitemap><loc>oops")
         .otherwise(_t("<sitemapindex>", F.col("x"), "</sitemapindex>")).alias("xml"),
-    )
+    ).unionByName(parts)
     roots = pages.select(F.col("top").alias("source"), _t("http://", F.col("top"), "/index.xml").alias("sitemap_url"))
     rules = [
         L.LinkRule("example.com", r"/(en|fr)/\d+"),
