@@ -40,13 +40,14 @@ def _text(side: str, field: str) -> Column:
 def field_diff(store: DataFrame) -> DataFrame:
     """(_id, name, source, field, old, new) for every field whose rule changes its value.
 
-    Only fields present in the new record are compared; list fields are shown as JSON.
+    That includes values that the rule now takes away: their new value is NULL. List fields are
+    shown as JSON.
     """
     pairs = _old_and_new(store)
     fields = [f for f in RECIPE_FIELDS if f in pairs.schema["old"].dataType.names]
     changes = [
         F.when(
-            F.col("new")[f].isNotNull() & ~F.col("new")[f].eqNullSafe(F.col("old")[f]),
+            ~F.col("new")[f].eqNullSafe(F.col("old")[f]),
             F.struct(
                 F.lit(f).alias("field"), _text("old", f).alias("old"), _text("new", f).alias("new")
             ),

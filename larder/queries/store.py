@@ -229,7 +229,8 @@ def q_renormalize(spark, sf):
 @query(
     f"""WITH {STORE_SQL} SELECT id AS _id, source, 'description' AS field, description AS old,
           trim(regexp_replace(regexp_replace(description, '</?b>', '', 'g'), '[ \\t]+', ' ', 'g')) AS "new" FROM store WHERE contains(description, '<b>')
-        UNION ALL SELECT id, source, 'name', name, {CLEAN_NAME} FROM store WHERE name <> {CLEAN_NAME}
+        UNION ALL SELECT id, source, 'name', name, nullif({CLEAN_NAME}, '') FROM store
+          WHERE name IS NOT NULL AND nullif({CLEAN_NAME}, '') IS DISTINCT FROM name
         UNION ALL SELECT id, source, 'ingredients', md5(array_to_string(ingredients, chr(10))), md5(array_to_string({CLEAN_LINES}, chr(10)))
           FROM store WHERE ingredients <> {CLEAN_LINES}"""
 )
