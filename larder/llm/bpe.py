@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks
+from larder.llm.common import arrow_map, by_blocks
 from larder.llm.ragged import PieceIds, flattened, take_runs
 
 #: White space as the tokenizer's own pattern has it, and what of it is neither a space nor a line end.
@@ -32,6 +32,8 @@ RARE_SPACES = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A full stop or comma that does not follow a letter or digit of a fixed, old range.
 LOOSE_MARK = re.compile(r"[.,](?=[ \n])(?<![0-9A-Za-zÀ-ÖØ-öø-ɏ][.,])")
+#: Distinct chunks that a worker remembers, about 250 bytes each.
+CHUNKS = 200_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -230,7 +232,7 @@ def encoder(path: str) -> WordEncoder:
 @cache
 def _pieces(path: str) -> PieceIds:
     one = encoder(path)
-    return PieceIds(one.encode_chunks)
+    return PieceIds(one.encode_chunks, CHUNKS)
 
 
 @cache
@@ -265,7 +267,7 @@ def decode_ids(ids: np.ndarray, path: str) -> bytes:
 
 def _encode_pass(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_blocks(batches, "text"):
+        for batch in by_blocks(batches, "text", 1_000_000):
             ids = [x.astype("<u4") for x in encode_texts(batch["text"].to_pylist(), path)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([x.tobytes() for x in ids], pa.binary())], ["doc_id", "ids"]
@@ -276,7 +278,7 @@ def _encode_pass(path: str):
 
 def _decode_pass(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_blocks(batches, "ids", 4_000_000):
+        for batch in by_blocks(batches, "ids", 1_000_000):
             texts = [decode_ids(np.frombuffer(x or b"", "<u4"), path) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, "decoded"]
@@ -292,13 +294,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     and null doc_ids stay; an empty table gives an empty result. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_encode_pass(path), f"doc_id {kind}, ids binary")
+    return arrow_map(docs.select("doc_id", "text"), _encode_pass(path), f"doc_id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded(doc_id, ids)`` with the decoded text; null ids decode to the empty text."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(_decode_pass(path), f"doc_id {kind}, ids binary, decoded string")
+    return arrow_map(encoded.select("doc_id", "ids"), _decode_pass(path), f"doc_id {kind}, ids binary, decoded string")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -61,6 +61,14 @@ def by_blocks(
         yield batch.slice(start)
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` where ``fn`` takes all batches of a partition, in order."""
+#: Rows that Spark hands to a Python worker at once. Rows are whole texts, so its own number (10,000) would
+#: keep several hundred MB of them in buffers beside the heap.
+BATCH_ROWS = 1000
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most ``BATCH_ROWS`` rows, a setting of the session."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
     return df.mapInArrow(fn, schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks, cut
+from larder.llm.common import arrow_map, by_blocks, cut
 
 WORDS = 13
 #: Words of items in one automaton: about 150 MB in a worker. More items take further passes.
@@ -172,7 +172,7 @@ def find_contamination(
         following = next(blocks, None)
         key = hashlib.sha256(repr((block, size)).encode("utf-8", "surrogatepass")).hexdigest()
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_scan_pass(shared, key, size, text_column, following is None), schema)
+        rows = arrow_map(rows, _scan_pass(shared, key, size, text_column, following is None), schema)
         if following is not None:
             rows = cut(rows, "scanned")
         block = following

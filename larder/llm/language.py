@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks
+from larder.llm.common import arrow_map, by_blocks
 from larder.llm.nets import Adam, add_rows, glorot, softmax
 
 UNKNOWN = "und"
@@ -222,4 +222,4 @@ def identify(docs: DataFrame, network: GatedNetwork | None) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    return docs.select("doc_id", "text").mapInArrow(_predict_pass(shared), f"doc_id {kind}, lang_pred string, score double")
+    return arrow_map(docs.select("doc_id", "text"), _predict_pass(shared), f"doc_id {kind}, lang_pred string, score double")

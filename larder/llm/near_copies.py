@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks, cut
+from larder.llm.common import arrow_map, by_blocks, cut
 from larder.llm.graph import components
 
 SHINGLE = 3
@@ -64,7 +64,7 @@ def _fingerprint_pass(size: int):
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) per row of ``docs``; no shuffle."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprint_pass(size), f"doc_id {kind}, fp bigint")
+    return arrow_map(docs.select("doc_id", "text"), _fingerprint_pass(size), f"doc_id {kind}, fp bigint")
 
 
 def _bit(position: Column) -> Column:

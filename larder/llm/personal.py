@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks
+from larder.llm.common import arrow_map, by_blocks
 from larder.llm.nets import Adam, add_rows, glorot, softmax
 
 KINDS = ("email", "ip", "card", "phone")
@@ -440,6 +440,5 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
-    return docs.select("doc_id", "text").mapInArrow(
-        _find_pass(shared), f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
+    return arrow_map(docs.select("doc_id", "text"), _find_pass(shared), f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
     )

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks, cut
+from larder.llm.common import arrow_map, by_blocks, cut
 
 WORD = re.compile(r"[^ \t-\r]+")
 #: Fixed values of the base rules.
@@ -82,10 +82,10 @@ def repeated_words(words: list[str]) -> int:
     return int(covered.sum())
 
 
-def _count_pass(keep: int):
+def _count_pass(keep: int, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_blocks(batches, "__text"):
-            counts = list(zip(*map(count_text, batch["__text"].to_pylist()), strict=True))
+        for batch in by_blocks(batches, text, 1_000_000):
+            counts = list(zip(*map(count_text, batch[text].to_pylist()), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(keep)), *(pa.array(c, pa.int64()) for c in counts)],
                 [*batch.schema.names[:keep], *COUNTS],
@@ -96,9 +96,11 @@ def _count_pass(keep: int):
 
 def with_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` under the names c0, c1, ..., and the counts of its ``text``; no shuffle."""
-    kept = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)), F.col("text").alias("__text"))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
-    return kept.mapInArrow(_count_pass(len(columns)), ", ".join([*fields, *(f"{c} bigint" for c in COUNTS)]))
+    needed = columns if "text" in columns else [*columns, "text"]
+    rows = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(needed)))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(columns)]]
+    schema = ", ".join([*fields, *(f"{c} bigint" for c in COUNTS)])
+    return arrow_map(rows, _count_pass(len(columns), f"c{needed.index('text')}"), schema)
 
 
 def measures() -> dict[str, Column]:
@@ -220,6 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, error: f
     Texts are counted twice, once for the cutoffs and once to filter in place: no text is shuffled.
     """
     counted = with_counts(docs, ["doc_id", "lang"]).withColumnsRenamed({"c0": "doc_id", "c1": "stratum"})
+    counted = cut(counted, "counts")
     cutoffs = calibrate(counted, labels, limit, error)
     names = [*docs.columns, "lang"]
     judged = _verdict(with_counts(docs, names).withColumnRenamed(f"c{len(names) - 1}", "stratum"), cutoffs)

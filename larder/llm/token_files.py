@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_blocks, cut
+from larder.llm.common import arrow_map, by_blocks, cut
 from larder.llm.ragged import PieceIds, flattened
 
 END_ID = 0
@@ -129,8 +129,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = END_ID
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    encoded = rows.mapInArrow(
-        _encode_pass(path, end_id), f"doc_id {kind}, ids array<int>, n_tokens bigint, offset bigint"
+    encoded = arrow_map(rows, _encode_pass(path, end_id), f"doc_id {kind}, ids array<int>, n_tokens bigint, offset bigint"
     )
     (
         encoded.write.option("orc.bloom.filter.columns", "doc_id")
@@ -180,6 +179,5 @@ def _checksum_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def checksums(rows: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of rows that ``read_token_files`` gave."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "start", "ids").mapInArrow(
-        _checksum_pass, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint"
+    return arrow_map(rows.select("doc_id", "start", "ids"), _checksum_pass, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
