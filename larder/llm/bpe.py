@@ -33,7 +33,7 @@ ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A full stop or comma that does not follow a letter or digit of a fixed, old range.
 LOOSE_MARK = re.compile(r"[.,](?=[ \n])(?<![0-9A-Za-zÀ-ÖØ-öø-ɏ][.,])")
 #: Distinct chunks that a worker remembers, about 250 bytes each.
-CHUNKS = 200_000
+CHUNKS = 150_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -52,9 +52,6 @@ class WordEncoder:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         size = 1 + max([*self.vocabulary.values(), *self.specials.values()])
-        self.names = [""] * size
-        for name, i in [*self.vocabulary.items(), *self.specials.items()]:
-            self.names[i] = name
         self._merges([m if isinstance(m, list) else m.split(" ") for m in model["merges"]], size)
         # printable stand-ins of the 256 bytes
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -237,8 +234,16 @@ def _pieces(path: str) -> PieceIds:
 
 @cache
 def _names(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All token names, each with a space behind, as one array of bytes; starts and sizes."""
-    names = [(n + " ").encode() for n in encoder(path).names]
+    """All token names, each with a space behind, as one array of bytes; starts and sizes.
+
+    Read from the file alone: a worker that only decodes holds no merges.
+    """
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    known = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    names = [b" "] * (1 + max(known.values()))
+    for name, i in known.items():
+        names[i] = (name + " ").encode()
     sizes = np.fromiter(map(len, names), np.int64, len(names))
     return np.frombuffer(b"".join(names), np.uint8), np.cumsum(sizes) - sizes, sizes
 
