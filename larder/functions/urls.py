@@ -71,3 +71,12 @@ def page_folder_join(page_url: Column | str, name: Column | str) -> Column:
 def fix_protocol_relative(col: Column | str) -> Column:
     """``//host/x`` -> ``http://host/x``."""
     return F.regexp_replace(as_col(col), r"^//", "http://")
+
+
+def host_parents(host: Column) -> Column:
+    """The host and all domains above it, nearest first."""
+    labels = F.split(host, r"\.")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    )

@@ -24,4 +24,4 @@ def query(sql: str | None = None):
 
 
 def load_all() -> None:
-    from larder.queries import dom, extraction, normalise, report, site, store, streams  # noqa: F401
+    from larder.queries import dom, extraction, jobs, normalise, report, site, store, streams  # noqa: F401

@@ -10,7 +10,7 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, registry
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -18,6 +18,7 @@ SLOW = {
     "q_extract_pages", "q_extraction_contract", "q_site_rules", "q_fallback", "q_overlay", "q_itemprops",
     "q_itemprops_lower", "q_image_preference", "q_hrecipe", "q_data_vocab", "q_microdata", "q_stream_equals_batch",
     "q_recipes_per_source", "q_page_meta", "q_text_and_attributes", "q_microdata_items",
+    "q_site_ingest", "q_feed_ingest",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -29,15 +30,15 @@ def duck():
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in queries() if n not in SLOW or os.environ.get("LARDER_ALL")]
+    "name", [n for n in registry.QUERIES if n not in SLOW or os.environ.get("LARDER_ALL")]
 )
 def test_query(spark, duck, name):
-    ok, message = compare(spark, duck, SF, name, queries()[name], oracle_sql().get(name))
+    ok, message = compare(spark, duck, SF, name, registry.QUERIES[name], registry.ORACLES.get(name))
     assert ok, message
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def test_entry(spark):
