@@ -162,3 +162,12 @@ def test_ingest_time(spark):
 def test_change_list_has_values_that_go(spark):
     store = spark.createDataFrame([("1", None, "n", "s", "yesterday", "2 months")], "_id string, ts timestamp, name string, source string, datePublished string, cookTime string")
     assert {(r.field, r.old, r.new) for r in maintain.field_diff(store).collect()} == {("datePublished", "yesterday", None), ("cookTime", "2 months", None)}
+
+
+def test_sites_by_host(spark):
+    from larder.sources.pages import with_source
+
+    urls = ["http://a.com/x", "https://www.a.com", "http://deep.b.a.com/", "http://xa.com/", "no url", None]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = with_source(pages, {"one": ["A.com"], "two": ["b.a.com"]}).collect()
+    assert [r.source for r in found] == ["one", "one", "two", None, None, None]
