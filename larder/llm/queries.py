@@ -94,7 +94,7 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.dropped_lines(table(spark, sf_dir, "documents"))
+    return fuzzy_lines.dropped_lines(table(spark, sf_dir, "documents"), fuzzy_lines.EVERY_SHINGLE)
 
 
 @query()
