@@ -72,7 +72,25 @@ def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", near_copies.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@query()
+def _escaped_sql(column: str) -> str:
+    out = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for mark in reply_trees.CONTROL:
+        out = f"replace({out}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return out
+
+
+@query(
+    f"""WITH turns AS (SELECT conv_id, turn, role, text FROM conversations
+      UNION ALL SELECT -7, n, who, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, who)),
+    whole AS (SELECT conv_id, count(*) AS n_turns,
+        string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), ''
+          ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS said,
+        coalesce(string_agg(coalesce(text, ''), '' ORDER BY turn NULLS FIRST, text NULLS FIRST) FILTER (role = '{reply_trees.LOSS_ROLE}'), '') AS learned,
+        sum(length('{reply_trees.START}{reply_trees.SEP}{reply_trees.END}' || {_escaped_sql("role")} || {_escaped_sql("text")})) AS formatted_chars
+      FROM turns GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+      formatted_chars::BIGINT AS formatted_chars FROM whole"""
+)
 def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", same), (-7, 1, "assistant", same)], "conv_id bigint, turn bigint, role string, text string")
