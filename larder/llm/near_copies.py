@@ -56,15 +56,21 @@ def _fingerprint_pass(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_blocks(batches, "text"):
             prints = np.array([fingerprint(t, size) for t in batch["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(prints.view(np.int64))], [*names, "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) per row of ``docs``; no shuffle."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", "text"), _fingerprint_pass(size), f"doc_id {kind}, fp bigint")
+    return _fingerprints(docs.select("doc_id", "text"), size)
+
+
+def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
+    """The columns of ``docs`` with ``fp`` in place of the text."""
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
+    return arrow_map(docs, _fingerprint_pass(size), ", ".join([*kept, "fp bigint"]))
 
 
 def _bit(position: Column) -> Column:
@@ -154,11 +160,18 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the least of their component.
+    """One row of ``docs`` for every component: the least by doc_id, unknown ones last, then by the text's hash.
 
     Rows that repeat a doc_id and text are one document, of which one row stays. The texts are dealt by
-    doc_id, of which no value is frequent, and not by fingerprint.
+    doc_id and hash, of which no value is frequent, and not by fingerprint.
     """
-    kept = near_copies(docs, size).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    version = F.xxhash64("text")
+    prints = cut(_fingerprints(docs.select("doc_id", version.alias("version"), "text"), size), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version")
+    nodes = cut(prints.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
+    roots = components(near_pairs(nodes.select("fp"))).withColumnRenamed("node", "fp")
+    kept = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("__kept"), F.col("first.version").alias("__hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__version") == F.col("__hash"))
+    rows = docs.withColumn("__version", version).join(kept, same, "left_semi")
+    return rows.dropDuplicates(["doc_id", "__version"]).drop("__version")
