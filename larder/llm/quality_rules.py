@@ -32,9 +32,6 @@ REPEAT_PERCENT = 50
 #: Limit on false rejections by all rules together, and the probability that any stratum exceeds it.
 LIMIT = 0.05
 ERROR = 0.05
-#: Strata with labels of their own; the languages with the most labelled documents come first, and all
-#: others form one stratum, as do documents without a language.
-STRATA = 64
 #: Rule -> candidate cutoffs, from the loosest to the strictest.
 CUTOFFS = {
     "symbols_per_char": (0.5, 0.3, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02, 0.01, 0.005),
@@ -151,8 +148,9 @@ def calibrate(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, error
     """Cutoffs from all labelled good documents that pass the base rules.
 
     ``counted`` has doc_id, stratum and the counts; ``labels`` doc_id and quality. The driver gets one
-    row of counts for each of at most ``STRATA`` + 2 strata. Labels that are null, or whose documents
-    are absent, count for nothing; several labels of one document count as the least of them.
+    row of counts for each language with labelled documents, and one for documents without a language.
+    Labels that are null, or whose documents are absent, count for nothing; several labels of one
+    document count as the least of them.
     """
     good = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -162,35 +160,27 @@ def calibrate(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, error
     held = counted.where(~base_failed()).join(good, "doc_id").select("stratum", *(v.alias(k) for k, v in measures().items()))
     beyond = [F.sum((F.col(r) > c).cast("long")).alias(f"{r}_{i}") for r, cs in CUTOFFS.items() for i, c in enumerate(cs)]
     by_stratum = held.groupBy("stratum").agg(F.count("*").alias("n"), *beyond)
-    own = by_stratum.where("stratum IS NOT NULL").orderBy(F.desc("n"), "stratum").limit(STRATA)
-    names = [r.stratum for r in own.select("stratum").collect()]
-    named = F.when(F.col("stratum").isin(names), F.struct(F.lit(1).alias("kind"), F.col("stratum").alias("name")))
-    other = F.when(F.col("stratum").isNull(), 0).otherwise(2)
-    pooled = by_stratum.groupBy(
-        F.coalesce(named, F.struct(other.alias("kind"), F.lit(None).cast("string").alias("name"))).alias("key")
-    ).agg(*(F.sum(c).alias(c) for c in by_stratum.columns[1:]))
     counts = {}
-    for row in pooled.collect():
+    for row in by_stratum.collect():
         for rule, cutoffs in CUTOFFS.items():
-            counts[(row.key.kind, row.key.name), rule] = (row.n, [row[f"{rule}_{i}"] for i in range(len(cutoffs))])
+            counts[(int(row.stratum is not None), row.stratum), rule] = (row.n, [row[f"{rule}_{i}"] for i in range(len(cutoffs))])
     return select_cutoffs(counts, limit, error)
 
 
 def rejected_by(cutoffs: dict) -> Column:
-    """Names of the rules that reject a counted row; its ``stratum`` column says which cutoffs hold."""
-    known = sorted({name for (kind, name), _ in cutoffs if kind == 1})
+    """Names of the rules that reject a counted row; its ``stratum`` column says which cutoffs hold.
+
+    A stratum without a cutoff for a rule, labelled or not, is not rejected by it.
+    """
     fired = []
     for rule, measure in measures().items():
-        limits = F.lit(None).cast("double")
-        for ((kind, name), r), cutoff in sorted(cutoffs.items(), key=str):
-            if r != rule:
-                continue
-            here = (
-                F.col("stratum").isNull() if kind == 0
-                else F.col("stratum") == name if kind == 1
-                else F.col("stratum").isNotNull() & ~F.col("stratum").isin(known)
-            )
-            limits = F.when(here, F.lit(float(cutoff))).otherwise(limits)
+        own = {name: float(c) for ((kind, name), r), c in sorted(cutoffs.items(), key=str) if r == rule and kind == 1}
+        limits = F.lit(cutoffs.get(((0, None), rule))).cast("double")
+        if own:
+            by_name = F.create_map(*(F.lit(x) for pair in own.items() for x in pair))
+            limits = F.when(F.col("stratum").isNull(), limits).otherwise(by_name[F.col("stratum")])
+        else:
+            limits = F.when(F.col("stratum").isNull(), limits)
         fired.append(F.when(measure > limits, F.lit(rule)))
     return F.array_compact(F.array(*fired))
 
