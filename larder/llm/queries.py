@@ -14,6 +14,7 @@ from larder.llm import (
     personal,
     quality_rules,
     reply_trees,
+    runs,
     token_files,
     url_rules,
 )
@@ -138,6 +139,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def repeated_tail(doc_id: int | None, n: int):
+    """One document in ten repeats its last words with a period, by the checksum of its id; others stay."""
+    import zlib
+
+    import numpy as np
+
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i >= a, a + (i - a) % p, i)
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("a"), (-r["period"]).alias("q")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("top", F.array_max(order)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.a")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.q")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.q")).cast("bigint").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
