@@ -13,6 +13,7 @@ from larder.llm import (
     near_copies,
     personal,
     quality_rules,
+    repair,
     reply_trees,
     runs,
     token_files,
@@ -167,6 +168,26 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) dropped, emptied, cut, repeated or given another role, by their checksum."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    kind = F.col("kind")
+    marked = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(name.cast("binary")) % 20).alias("kind"))
+    times = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    changed = F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return marked.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), changed.alias("text"), F.explode(times).alias("copy")
+    ).drop("copy")
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(damaged(rows), rows.select("conv_id"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
