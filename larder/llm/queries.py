@@ -18,6 +18,7 @@ from larder.llm import (
     runs,
     token_files,
     url_rules,
+    warc,
 )
 from larder.llm.common import fresh_path, table
 
@@ -140,6 +141,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+@query(
+    """WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    digests AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS least FROM digests)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+      array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1) FOR i IN range(0, 32)], '') AS payload_digest,
+      CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> least THEN least END AS refers_to FROM firsts"""
+)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_warc(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    return warc.read_warc(written, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+
 def repeated_tail(doc_id: int | None, n: int):
     """One document in ten repeats its last words with a period, by the checksum of its id; others stay."""
     import zlib
