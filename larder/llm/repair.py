@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,7 @@ ENDS = (0, 3)
 FAR = 1 << 60
 ROLE = {"u": "user", "a": "assistant"}
 LEGAL = {"su", "ua", "au"}
+KNOWN = frozenset("sua")
 
 
 def _bounds(rows: list[tuple[str, str]], ends: tuple[int, ...]) -> list[list[int]]:
@@ -43,18 +45,20 @@ def _bounds(rows: list[tuple[str, str]], ends: tuple[int, ...]) -> list[list[int
     for i in range(len(rows), -1, -1):
         here = bound[i]
         if i < len(rows):
+            after = bound[i + 1]
             for state in range(4):
-                here[state] = min(cost + bound[i + 1][to] for _, to, cost in _row_edits(rows[i], state))
-        for _ in range(3):  # inserts only go round between states 2 and 3
-            for state in range(4):
-                for initial, to in STEPS[state].items():
-                    if initial != "s":
-                        here[state] = min(here[state], INSERT + here[to])
+                here[state] = min([cost + after[to] for _, to, cost in _row_edits(rows[i], state)])
+        # inserts: a user and an assistant turn lead to each other, and a user turn follows the other states
+        here[2] = min(here[2], INSERT + here[3])
+        here[3] = min(here[3], INSERT + here[2])
+        for state in (0, 1):
+            here[state] = min(here[state], INSERT + here[2])
     return bound
 
 
+@cache
 def _row_edits(row: tuple[str, str], state: int) -> list[tuple[str, int, int]]:
-    """(letter, next state, cost) of the edits of one row (initial, fault), by letter."""
+    """(letter, next state, cost) of the edits of one row (initial, fault), by letter; other initials are one."""
     initial, fault = row
     edits = [("D", state, DELETE)]
     if fault in ("blank", "duplicate"):
@@ -85,8 +89,7 @@ def search(rows: list[tuple[str, str]], start: int, ends: tuple[int, ...]) -> tu
         table[i, state] = (cost, letters)
         if i == len(rows) and state in ends:
             best = min(best, (cost, letters))
-        moves = [("I", to, INSERT) for initial, to in STEPS[state].items() if initial != "s"]
-        moves = [(letter, i, to, c) for letter, to, c in moves]
+        moves = [("I", i, to, INSERT) for initial, to in STEPS[state].items() if initial != "s"]
         if i < len(rows):
             moves += [(letter, i + 1, to, c) for letter, to, c in _row_edits(rows[i], state)]
         # the most promising is taken from the stack first: least bound, then least letter
@@ -148,7 +151,7 @@ class Conversation:
         if self.last is not None and self.last + initial not in LEGAL:
             self.illegal += 1
         self.last = initial
-        self.rows.append((initial, fault))
+        self.rows.append((initial if initial in KNOWN else "", fault))
         self.texts.append((role, text))
 
     def _advance(self, ends) -> None:
@@ -230,14 +233,14 @@ def faults(rows: DataFrame) -> DataFrame:
     by their size, and a text that a third of all rows have is one row of theirs.
     """
     bare = F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", "     "))
-    first = F.struct(F.col("turn").isNotNull().alias("known"), "turn")
-    marked = rows.withColumn("__said", _digest(F.col("role"), F.col("text"))).withColumn("__at", first)
+    marked = rows.withColumn("__said", _digest(F.col("role"), F.col("text")))
     seen = marked.where(bare != "").groupBy(F.col("conv_id").alias("__conv"), F.col("__said").alias("__text"))
-    seen = seen.agg(F.min("__at").alias("__first"), F.max("__at").alias("__last")).where("__first < __last").drop("__last")
+    seen = seen.agg(F.min("turn").alias("__first"), F.max("turn").alias("__last"), F.max(F.col("turn").isNull()).alias("__unknown"))
+    seen = seen.where("__first < __last OR (__unknown AND __first IS NOT NULL)").drop("__last")
     joined = marked.join(seen, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("__said") == F.col("__text")), "left")
     fault = (
         F.when(bare == "", "blank")
-        .when(F.col("__first") < F.col("__at"), "duplicate")
+        .when((F.col("turn") > F.col("__first")) | (F.col("__unknown") & F.col("turn").isNotNull()), "duplicate")
         .when(F.right(bare, F.lit(1)).isin(".", "!", "?"), "")
         .otherwise("truncated")
     )
