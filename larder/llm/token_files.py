@@ -1,7 +1,8 @@
 """Token ids of whole documents in ORC files, and reading them back.
 
 The files hold one row per document in ascending ``doc_id`` order: ``doc_id``, ``ids`` (ARRAY<INT>, stored
-as integer run-length encoded streams), ``n_tokens`` and ``offset`` (ids of the same file before it). Row
+as integer run-length encoded streams), ``n_tokens``, ``part`` (the range of doc_ids that it belongs to) and
+``offset`` (ids of the same range before it); a range may be one file or several. Row
 indexes and a Bloom filter on ``doc_id`` let a reader skip stripes and row groups; stripes are the unit of
 parallel reads.
 """
@@ -17,6 +18,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,7 +103,7 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
 
 def _encode_pass(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = 0
+        before, part = 0, TaskContext.get().partitionId()
         for batch in by_blocks(batches, "text", 4_000_000):
             lists = [np.append(x, end_id) for x in encode_texts(batch["text"].to_pylist(), path)]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -111,8 +113,8 @@ def _encode_pass(path: str, end_id: int):
                 pa.array(np.concatenate(lists).astype(np.int32)),
             )
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], ids, pa.array(sizes), pa.array(before + ends - sizes)],
-                ["doc_id", "ids", "n_tokens", "offset"],
+                [batch["doc_id"], ids, pa.array(sizes), pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes)],
+                ["doc_id", "ids", "n_tokens", "part", "offset"],
             )
             before += int(ends[-1])
 
@@ -123,14 +125,13 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = END_ID
     """Encode ``docs(doc_id, text)`` and write them to the folder ``out`` as ORC.
 
     The texts are dealt by ranges of ``doc_id`` and sorted before they are encoded, so every file holds
-    one range, in order. A null text is an empty document (only the end id); rows that repeat a
+    rows of one range, in order; all rows with one ``doc_id``, or with none, are in one range. A null text is an empty document (only the end id); rows that repeat a
     ``doc_id`` are all written, in the order of their texts; rows with a null ``doc_id`` come first;
     an empty table writes an empty folder. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    encoded = arrow_map(rows, _encode_pass(path, end_id), f"doc_id {kind}, ids array<int>, n_tokens bigint, offset bigint"
-    )
+    encoded = arrow_map(rows, _encode_pass(path, end_id), f"doc_id {kind}, ids array<int>, n_tokens bigint, part int, offset bigint")
     (
         encoded.write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
@@ -145,10 +146,10 @@ def read_token_files(spark: SparkSession, folder: str, where: Column | None = No
     """(doc_id, ids, n_tokens, start): ``start`` counts the ids of all documents before.
 
     A condition on ``doc_id`` reaches the ORC reader, which skips stripes by their statistics and Bloom
-    filters. The starts come from one total per file, so no document is read for them.
+    filters. The starts come from one total per range, for which no ids are read.
     """
-    files = spark.read.orc(folder).withColumn("file", F.col("_metadata.file_path"))
-    totals = files.groupBy("file").agg(
+    files = spark.read.orc(folder)
+    totals = files.groupBy("part").agg(
         F.max(F.col("offset") + F.col("n_tokens")).alias("total"),
         F.min("doc_id").alias("least"),
         F.max(F.col("doc_id").isNull()).alias("unknown"),
@@ -157,9 +158,9 @@ def read_token_files(spark: SparkSession, folder: str, where: Column | None = No
         Window.orderBy(F.desc("unknown"), "least").rowsBetween(Window.unboundedPreceding, -1)
     )
     # written, so that the planner knows how small it is and need not shuffle the ids for the join
-    bases = cut(totals.select("file", F.coalesce(before, F.lit(0)).alias("base")), "bases")
+    bases = cut(totals.select("part", F.coalesce(before, F.lit(0)).alias("base")), "bases")
     rows = files if where is None else files.where(where)
-    return rows.join(bases, "file").select(
+    return rows.join(bases, "part").select(
         "doc_id", "ids", "n_tokens", (F.col("base") + F.col("offset")).alias("start")
     )
 
