@@ -18,13 +18,14 @@ from larder.llm.common import arrow_map, by_blocks
 from larder.llm.nets import Adam, add_rows, glorot, softmax
 
 UNKNOWN = "und"
-#: Bounds of the training sample: languages (the most frequent first), documents of each, characters of each.
-LANGUAGES = 64
+#: Bounds of the training sample: documents of each language and of all together (every language keeps one at
+#: least), and characters of each.
 PER_LANGUAGE = 400
+SAMPLE_DOCS = 25_600
 SAMPLE_CHARS = 1500
 HIDDEN = 16
 TRAIN_WINDOW, WINDOW = 48, 128
-STEPS, BATCH = 220, 128
+STEPS, STEPS_PER_LANGUAGE, BATCH = 220, 12, 128
 
 
 class GatedNetwork:
@@ -76,7 +77,8 @@ class GatedNetwork:
         adam = Adam(self.w, 0.02)
         held = [np.frombuffer(t, np.uint8) for t in texts]
         of = [np.flatnonzero(labels == k) for k in range(len(self.languages))]
-        for step in range(STEPS):
+        steps = max(STEPS, STEPS_PER_LANGUAGE * len(self.languages))
+        for step in range(steps):
             y = rng.integers(0, len(self.languages), BATCH)
             x = np.zeros((TRAIN_WINDOW, BATCH), np.int64)
             mask = np.zeros((TRAIN_WINDOW, BATCH, 1), np.float32)
@@ -98,7 +100,7 @@ class GatedNetwork:
                 **self._backward(x, "f", kf, p @ self.w["Of"].T),
                 **self._backward(x[::-1], "b", kb, (p @ self.w["Ob"].T)[::-1]),
             }
-            adam.update(grads, scale=1.0 if step < STEPS * 0.7 else 0.25)
+            adam.update(grads, scale=1.0 if step < steps * 0.7 else 0.25)
 
     def _read(self, x: np.ndarray, d: str, logits: np.ndarray, order) -> None:
         """Add one direction's share of the logits; halved gate weights save the scaling of each step."""
@@ -173,23 +175,27 @@ def is_held_out() -> F.Column:
 def learn_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> GatedNetwork | None:
     """A network trained on documents that are not held out; None without any labelled text.
 
-    The sample is bounded: ``LANGUAGES`` languages, about ``per_language`` documents of each, chosen by a
-    hash of the doc_id, and ``SAMPLE_CHARS`` characters of each from a place that the hash gives.
+    The sample is bounded: about ``per_language`` documents of each language, fewer where there are so many
+    languages that ``SAMPLE_DOCS`` would be exceeded, chosen by a hash of doc_id and text, and ``SAMPLE_CHARS``
+    characters of each from a place that the hash gives. Rows that repeat a doc_id and text count as one.
     """
     rows = docs.select("doc_id", "text", "lang").where(
         ~F.coalesce(is_held_out(), F.lit(False)) & F.col("lang").isNotNull()
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    which = F.xxhash64("doc_id", "text")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count"), F.min(which).alias("least")).collect()  # one row per language
     if not counts:
         return None
-    mark = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    share = F.lit(0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], min(1_000_000, -(-1_250_000 * per_language // row["count"]))).otherwise(share)
+    per_language = max(1, min(per_language, SAMPLE_DOCS // len(counts)))
+    shares = [x for r in counts for x in (r["lang"], min(1_000_000, -(-1_250_000 * per_language // r["count"])))]
+    least = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], r["least"])))
+    mark = F.pmod(F.xxhash64(which, F.lit("sample")), F.lit(1_000_000))
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS))
-    sample = rows.where(mark < share).select(
-        "lang", F.xxhash64("doc_id").alias("order"), F.substring("text", (place + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text")
+    chosen = (mark < F.try_element_at(F.create_map(*map(F.lit, shares)), F.col("lang"))) | (which == F.try_element_at(least, F.col("lang")))
+    drawn = rows.where(chosen).select(
+        "lang", which.alias("order"), F.substring("text", (place + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text")
     )
+    sample = drawn.groupBy("lang", "order").agg(F.min("text").alias("text"))
     taken: dict[str, list[bytes]] = {}
     for row in sorted(sample.collect(), key=lambda r: (r.lang, r.order, r.text or "")):
         if row.text and any(map(str.isalpha, row.text)) and len(taken.setdefault(row.lang, [])) < per_language:
