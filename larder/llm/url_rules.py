@@ -1,17 +1,21 @@
 """URL filters by site rules and by mined association rules, in DataFrame operations only.
 
 FP-growth looks for combinations of URL tokens that go with a bad label. Combinations with enough support and
-confidence are the rules. Each is filed under its rarest token; the tokens of a URL fetch the rules
-filed under them, and a rule fires if the URL has all of its tokens.
+confidence are the rules. Tokens that the same labelled pages have are one item to it, as nothing in the labels tells
+them apart: k of them would else make 2^k combinations that all say the same. A rule is a list of items, each with
+its tokens. It is filed under all tokens of its rarest item; the tokens of a URL fetch the rules filed under them,
+and a rule fires if the URL has a token of each of its items.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import lower_ascii
+from larder.llm.common import cut, lower_ascii
 
 #: (host, path, verdict)
 SITE_RULES = (
@@ -67,38 +71,64 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(F.array(scheme), hosts, named("path=", segments), named("query=", keys), mark))
 
 
+def _items(held: DataFrame, least: int) -> DataFrame:
+    """(token, item, n) of the tokens that ``least`` rows of ``held(row, has)`` have.
+
+    Tokens with the same rows, told by the number and two sums of the rows' hashes, have one item: the
+    first of their names.
+    """
+    wide = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(20,0)"))
+    each = held.select("row", F.explode("has").alias("token"))
+    tokens = each.groupBy("token").agg(F.count("*").alias("n"), wide("row").alias("a"), wide("row", F.lit(1)).alias("b")).where(F.col("n") >= least)
+    names = tokens.groupBy("n", "a", "b").agg(F.min("token").alias("item"))
+    return tokens.join(names, ["n", "a", "b"]).select("token", "item", "n")
+
+
 def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE) -> DataFrame:
-    """(tokens, filed, confidence): rules mined from the labelled pages.
+    """(items, tokens, filed, confidence): rules mined from the labelled pages, a row for each token they are filed under.
 
     A page is bad if it is labelled as of low quality or toxic; labels with nulls in both count for nothing,
-    and several labels of one page as bad if one is. Support and confidence prune, and a rule goes if
-    a shorter one within it is as confident. Without labelled pages there are no rules.
+    several labels of one page as bad if one is, and rows that repeat a page_id and url as one. Support and
+    confidence prune, and a rule goes if a shorter one within it is as confident. Without labelled pages
+    there are no rules.
     """
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     marks = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(F.max(bad).alias("bad"))
-    held = pages.select("page_id", "url").join(marks, F.col("page_id") == F.col("doc_id"))
-    baskets = held.select(F.concat(url_tokens(F.col("url")), F.array(F.when(F.col("bad"), BAD).otherwise(GOOD))).alias("items"))
-    n = baskets.count()
-    empty = pages.sparkSession.createDataFrame([], "tokens array<string>, filed string, confidence double")
+    held = pages.select("page_id", "url").distinct().join(marks, F.col("page_id") == F.col("doc_id"))
+    held = held.select(F.struct("page_id", "url").alias("row"), "bad", url_tokens(F.col("url")).alias("has"))
+    n = held.count()
+    empty = pages.sparkSession.createDataFrame([], "items array<string>, tokens array<array<string>>, filed string, confidence double")
     if not n:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("tokens"), "confidence")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("filed"), "freq")
-    rarest = rules.select("*", F.explode("tokens").alias("filed")).join(single, "filed")
-    filed = rarest.groupBy("tokens").agg(F.min_by("filed", F.struct("freq", "filed")).alias("filed"), F.max("confidence").alias("confidence"))
+    share = min(1.0, max(support, least / n))
+    items = cut(_items(held, min(n, math.ceil(share * n))), "items")
+    named = held.select("row", F.explode("has").alias("token")).join(items, "token").groupBy("row").agg(F.collect_set("item").alias("items"))
+    mark = F.array(F.when(F.col("bad"), BAD).otherwise(GOOD))
+    baskets = held.join(named, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), mark).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(baskets)
+    rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("items"), "confidence")
+    # the tokens of one item all come from one URL, so their list is no longer than that
+    single = items.groupBy(F.col("item").alias("filed")).agg(F.max("n").alias("n"), F.array_sort(F.collect_list("token")).alias("tokens"))
+    each = rules.select("*", F.explode("items").alias("filed")).join(single, "filed")
+    filed = cut(
+        each.groupBy("items").agg(
+            F.min_by("filed", F.struct("n", "filed")).alias("filed"), F.max("confidence").alias("confidence"),
+            F.array_sort(F.collect_list("tokens")).alias("tokens"), F.min_by("tokens", F.struct("n", "filed")).alias("under"),
+        ),
+        "rules",
+    )
     a, b = filed.alias("a"), filed.alias("b")
-    within = F.expr("size(b.tokens) < size(a.tokens) AND size(array_except(b.tokens, a.tokens)) = 0 AND b.confidence >= a.confidence")
-    heads = a.select("a.*", F.explode("a.tokens").alias("head")).alias("a")
-    needless = heads.join(b, F.expr("a.head = b.filed") & within).select(F.col("a.tokens").alias("tokens")).distinct()
-    return filed.join(needless, "tokens", "left_anti")
+    within = F.expr("size(b.items) < size(a.items) AND size(array_except(b.items, a.items)) = 0 AND b.confidence >= a.confidence")
+    heads = a.select("a.*", F.explode("a.items").alias("head")).alias("a")
+    needless = heads.join(b, F.expr("a.head = b.filed") & within).select(F.col("a.items").alias("items")).distinct()
+    return filed.join(needless, "items", "left_anti").select("items", "tokens", F.explode("under").alias("filed"), "confidence")
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The distinct ``url`` values of ``urls`` on which a rule fires (a null url as the empty one)."""
     tokens = urls.select(F.coalesce("url", F.lit("")).alias("url")).distinct().select("url", url_tokens(F.col("url")).alias("has"))
     fetched = tokens.select("url", "has", F.explode("has").alias("filed")).join(rules.select("filed", "tokens"), "filed")
-    return fetched.where(F.size(F.array_except("tokens", "has")) == 0).select("url").distinct()
+    return fetched.where(F.forall("tokens", lambda some: F.arrays_overlap(some, "has"))).select("url").distinct()
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, site_rules=SITE_RULES) -> DataFrame:
