@@ -459,13 +459,23 @@ def test_mined_rules(spark):
     want = {s: bad_counts[s] / counts[s] for s in counts if bad_counts[s] >= least and bad_counts[s] / counts[s] >= url_rules.CONFIDENCE}
     fires = {u for u, has in tokens.items() if any(set(s) <= has for s in want)}
     found = url_rules.mine_rules(table, marks)
-    got = {tuple(r.tokens): r.confidence for r in found.collect()}
+    got = {tuple(sorted(some)): r.confidence for r in found.collect() for some in itertools.product(*r.tokens)}
     assert got and all(want[s] == pytest.approx(c) for s, c in got.items())
     assert {r.url for r in url_rules.blocked_urls(table, found).collect()} == fires and fires
     judged = {r.page_id: r.verdict for r in url_rules.judge_urls(table, marks).collect()}
     assert judged == {i: "block" if u in fires else "allow" for i, u in pages}
 
 
+def test_long_addresses_end(spark):
+    """Bad pages below one address of 25 parts, whose tokens always occur together."""
+    deep = "/".join(f"part{chr(97 + i)}" for i in range(25))
+    pages = [(i, f"http://www.a.org/{deep}/{i}" if i < 40 else f"http://www.a.org/x/{i}") for i in range(240)]
+    table = spark.createDataFrame([*pages, (900, "http://b.org/parta/1"), (901, "http://b.org/1")], "page_id bigint, url string")
+    marks = spark.createDataFrame([(i, int(i >= 40), 0) for i in range(240)], "doc_id bigint, quality int, toxic int")
+    judged = {r.page_id: r.verdict for r in url_rules.judge_urls(table, marks).collect()}
+    assert judged == {**{i: "block" if i < 40 else "allow" for i, _ in pages}, 900: "block", 901: "allow"}
+
+
 def test_site_rules(spark):
     pages = [(i, u) for i, u in enumerate(URLS)] + [(3, URLS[3]), (None, URLS[4])]
     table = spark.createDataFrame(pages, "page_id bigint, url string").withColumn("host", F.lit("own")).withColumn("has", F.lit(1))
@@ -597,6 +607,20 @@ def test_token_files(spark, messy, messy_rows, nothing):
     assert token_files.read_token_files(spark, empty).count() == 0 if spark.read.format("binaryFile").load(empty).count() else True
 
 
+def test_token_files_split_by_rows(spark, words):
+    """Several files of one range: starts go on from file to file."""
+    rows = [(i, words[i % len(words)]) for i in range(300)]
+    folder, path = fresh_path(spark, "test-tokens"), queries.vocabulary("byte_bpe_50k.json")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 30)
+    try:
+        token_files.write_token_files(spark.createDataFrame(rows, "doc_id bigint, text string"), folder, path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert spark.read.format("binaryFile").option("pathGlobFilter", "*.orc").load(folder).count() >= 10
+    got = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.doc_id)
+    assert [r.start for r in got] == np.append(0, np.cumsum([r.n_tokens for r in got]))[:-1].tolist()
+
+
 # 9 ---------------------------------------------------------------------------------------------
 
 
