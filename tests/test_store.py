@@ -12,6 +12,7 @@ from larder.schema import RECIPE_FIELDS, RECIPE_SCHEMA
 from larder.sources import sinks
 from larder.sources.pages import read_html_folder, read_store
 from larder.streaming.ingest import stream_upsert
+from larder.streaming.stored import read_stored
 
 ITEM = "arrival long, source string, name string, url string, ingredients array<string>"
 
@@ -140,7 +141,7 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     stream = spark.readStream.schema("url string, arrival int").parquet(src)
     for checkpoint in ("a", "b"):  # a new checkpoint replays the first batch
         stream_upsert(stream, store, f"{tmp_path}/{checkpoint}", ["arrival"]).awaitTermination()
-        rows = spark.read.parquet(store).collect()
+        rows = read_stored(spark, store, "url string, arrival int").collect()
         assert {(r.url, r.arrival) for r in rows} >= {("u1", 1), ("u2", 3)} and len([r for r in rows if r.url]) == 2
 
 
@@ -149,7 +150,7 @@ def test_other_checkpoint_keeps_stored_rows(spark, tmp_path):
         spark.createDataFrame([(url, 1)], "url string, arrival int").write.parquet(f"{tmp_path}/{name}")
         stream = spark.readStream.schema("url string, arrival int").parquet(f"{tmp_path}/{name}")
         stream_upsert(stream, f"{tmp_path}/store", f"{tmp_path}/check-{name}", ["arrival"]).awaitTermination()
-    assert {r.url for r in spark.read.parquet(f"{tmp_path}/store").collect()} == {"u1", "u2"}
+    assert {r.url for r in read_stored(spark, f"{tmp_path}/store", "url string, arrival int").collect()} == {"u1", "u2"}
 
 
 def test_ingest_time(spark):
