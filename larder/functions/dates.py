@@ -27,6 +27,8 @@ ISO_ORDINAL = r"^(\d{4})-?(\d{3})$"
 ISO_MONTH = r"^\d{4}-\d{2}$"
 ISO_YEAR = r"^\d{4}$"
 ISO_CENTURY = r"^\d{2}$"
+# What all of them have in common.
+ISO_SHAPE = r"^\d[\dW-]+$"
 
 # The ISO 8601 duration form and the seconds of one text unit.
 _NUM = r"(\d+(?:[.,]\d+)?)"
@@ -81,16 +83,22 @@ def parse_iso_date(col: Column | str) -> Column:
     return let(as_col(col), _parse_iso)
 
 
+def _calendar_date(c: Column) -> Column:
+    """DATE of a text of the form year-month-day, NULL for a day that does not exist."""
+    return F.when(~c.startswith("0000"), c.try_cast("date"))
+
+
 def _parse_iso(c: Column) -> Column:
-    return (
-        F.when(c.rlike(ISO_CALENDAR), F.try_to_date(c, "yyyy-MM-dd"))
-        .when(c.rlike(ISO_COMPACT), F.try_to_date(c, "yyyyMMdd"))
+    calendar = F.when(c.rlike(ISO_CALENDAR), _calendar_date(c))
+    rarer = (
+        F.when(c.rlike(ISO_COMPACT), F.try_to_date(c, "yyyyMMdd"))
         .when(c.rlike(ISO_WEEK), _iso_week_date(c))
         .when(c.rlike(ISO_ORDINAL), _ordinal_date(c))
-        .when(c.rlike(ISO_MONTH), F.try_to_date(F.concat(c, F.lit("-01")), "yyyy-MM-dd"))
-        .when(c.rlike(ISO_YEAR), F.try_to_date(F.concat(c, F.lit("-01-01")), "yyyy-MM-dd"))
-        .when(c.rlike(ISO_CENTURY), F.try_to_date(F.concat(c, F.lit("00-01-01")), "yyyy-MM-dd"))
+        .when(c.rlike(ISO_MONTH), _calendar_date(F.concat(c, F.lit("-01"))))
+        .when(c.rlike(ISO_YEAR), _calendar_date(F.concat(c, F.lit("-01-01"))))
+        .when(c.rlike(ISO_CENTURY), _calendar_date(F.concat(c, F.lit("00-01-01"))))
     )
+    return F.when(c.rlike(ISO_SHAPE), F.coalesce(calendar, rarer))
 
 
 # Date layouts rewritten to year-month-day; "#n" stands for a month name.
@@ -113,23 +121,57 @@ NOISE = [
 ]
 
 
-def _text_date(c: Column) -> Column:
+# The usual layouts in one expression; what they do not cover goes through NOISE and LAYOUTS, which give the same.
+_DAY, _WORD = r"(\d{1,2})(?:st|nd|rd|th)?", MONTH_WORD + r"\.?"
+USUAL = (
+    rf"(?i)^\s*(?:{WEEKDAY}\.?,?\s+)?(?:{_WORD}\s+{_DAY},?\s+(\d{{4}})|{_DAY}[ -]{_WORD}(?:,? +|-)(\d{{4}})|{_WORD},?\s+(\d{{4}})"
+    r"|(\d{4})-(\d{2})-(\d{2})T\d{2}:?\d{2}.*|(\d{4})[/.](\d{1,2})[/.](\d{1,2})|(\d{1,2})/(\d{1,2})/(\d{4})"
+    r"|(\d{1,2})[.-](\d{1,2})[.-](\d{4}))\s*$"
+)
+READ = "\u0001"
+USUAL_PARTS = f"{READ}$3$6$8$9$12$17$20{READ}$1$5$7$10$13$15$19{READ}$2$4$11$14$16$18{READ}"
+
+
+def _month_number(word: Column) -> Column:
+    """A month's number from its name or number, as text."""
+    letters = F.substring(F.lower(word), 1, 3)
+    return F.when(word.rlike("^[0-9]"), word).otherwise(
+        F.floor((F.instr(F.lit(" " + " ".join(MONTHS)), letters) + 2) / 4).cast("string")
+    )
+
+
+def _usual_date(parts: Column) -> Column:
+    """DATE from year, month and day between the marks."""
+    piece = lambda i: F.substring_index(F.substring_index(parts, READ, i + 1), READ, -1)
+    day = F.when(piece(3) == "", "1").otherwise(piece(3))
+    return _calendar_date(F.concat_ws("-", piece(1), _month_number(piece(2)), day))
+
+
+def _other_date(c: Column) -> Column:
     """Rewrite the known layouts to one form, which a single parse then validates."""
     for pattern, to in NOISE:
         c = F.regexp_replace(c, pattern, to)
-    month = F.array_position(
-        F.array(*[F.lit(m) for m in MONTHS]),
-        F.substring(F.lower(F.regexp_extract(c, rf"(?i)\b{MONTH_WORD}\b", 1)), 1, 3),
-    )
-    s = F.regexp_replace(
-        c, F.lit(rf"(?i)\b{MONTH_WORD}\b\.?"), F.concat(F.lit("#"), month.cast("string"))
+
+    def named(c: Column) -> Column:
+        word = F.regexp_extract(c, rf"(?i)\b{MONTH_WORD}\b", 1)
+        number = F.when(word == "", "0").otherwise(_month_number(word))
+        return F.regexp_replace(c, F.lit(rf"(?i)\b{MONTH_WORD}\b\.?"), F.concat(F.lit("#"), number))
+
+    def laid_out(s: Column) -> Column:
+        for pattern, to in LAYOUTS:
+            s = F.regexp_replace(s, pattern, to)
+        # anything else left over does not parse
+        return let(s, lambda d: F.when(d.rlike(YMD), _calendar_date(d)))
+
+    return let(strip_edges(let(c, named)), laid_out)
+
+
+def _text_date(c: Column) -> Column:
+    read = let(
+        F.regexp_replace(c, USUAL, USUAL_PARTS),
+        lambda p: F.when(p.startswith(READ), _usual_date(p)).when(p.rlike(r"[^\d-]"), _other_date(p)),
     )
-    s = strip_edges(s)
-    for pattern, to in LAYOUTS:
-        s = F.regexp_replace(s, pattern, to)
-    # anything else left over does not parse
-    day = F.nullif(F.regexp_extract(s, YMD, 0), F.lit(""))
-    return F.date_format(F.try_to_date(day, "yyyy-M-d"), "yyyy-MM-dd")
+    return F.when(c.rlike(r"\d{4}"), read.cast("string"))  # every layout has a year
 
 
 def iso_date(col: Column | str) -> Column:

@@ -145,3 +145,25 @@ def test_resolve_url(spark):
     }
     assert values(spark, lambda c: U.resolve_url(F.lit(base), c), list(cases)) == list(cases.values())
     assert values(spark, U.url_host, ["HTTP://u@A.com:80/x", "mailto:a", None]) == ["a.com", None, None]
+
+
+def test_usual_dates_are_read_as_the_others(spark):
+    """The one expression for the usual layouts gives what the rewriting steps give."""
+    import random
+
+    from larder.functions import dates
+
+    rnd = random.Random(3)
+    months = ["Jan", "january", "Feb.", "MARCH", "sept", "Sept.", "december", "may", "foo", "7", "13"]
+    day = lambda: rnd.choice([str(rnd.randint(0, 40)), f"{rnd.randint(1, 31):02}", f"{rnd.randint(1, 31)}{rnd.choice(['st', 'nd', 'th'])}"])
+    texts = []
+    for _ in range(6000):
+        year, month = rnd.choice(["2012", "1999", "0000", "12"]), rnd.choice(months)
+        parts = rnd.choice([[month, day(), year], [day(), month, year], [year, month, day()], [month, year], [f"{year}-{rnd.randint(1, 13):02}-{rnd.randint(1, 32):02}"]])
+        mark = rnd.choice([" ", "-", "/", ".", ", ", "  "])
+        texts.append(rnd.choice(["", "Monday, ", "Tue ", "wed. "]) + mark.join(parts) + rnd.choice(["", "", " at 10:30", "T10:20:00Z", " ", " pm"]))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = rows.select("t", dates.iso_date("t").alias("got"), F.when(F.col("t").rlike(r"\d{4}"), dates._other_date(F.col("t"))).cast("string").alias("other"))
+    both = both.where(dates.parse_iso_date("t").isNull()).collect()
+    assert sum(r.got is not None for r in both) > 500
+    assert [r for r in both if r.got != r.other] == []
