@@ -103,19 +103,22 @@ class GatedNetwork:
             adam.update(grads, scale=1.0 if step < steps * 0.7 else 0.25)
 
     def _read(self, x: np.ndarray, d: str, logits: np.ndarray, order) -> None:
-        """Add one direction's share of the logits; halved gate weights save the scaling of each step."""
+        """Add one direction's share of the logits (positions, languages, windows).
+
+        Halved gate weights save the scaling of each step; windows lie side by side in memory, so every
+        operation runs over whole rows.
+        """
         H = self.hidden
         half = np.concatenate([np.full(2 * H, 0.5, np.float32), np.ones(H, np.float32)])
-        E, U, out = self.w[f"E{d}"] * half, self.w[f"U{d}"] * half, self.w[f"O{d}"]
+        E, U, out = (np.ascontiguousarray(m.T) for m in (self.w[f"E{d}"] * half, self.w[f"U{d}"] * half, self.w[f"O{d}"]))
         size = x.shape[1]
-        h = np.zeros((size, H), np.float32)
-        a, u = np.empty((size, 3 * H), np.float32), np.empty((size, 3 * H), np.float32)
-        n, part = np.empty((size, H), np.float32), np.empty((size, out.shape[1]), np.float32)
-        gates, z, r, an, un = a[:, : 2 * H], a[:, :H], a[:, H : 2 * H], a[:, 2 * H :], u[:, 2 * H :]
+        h, n, part = np.zeros((H, size), np.float32), np.empty((H, size), np.float32), np.empty((len(out), size), np.float32)
+        a, u = np.empty((3 * H, size), np.float32), np.empty((3 * H, size), np.float32)
+        gates, z, r, an, un = a[: 2 * H], a[:H], a[H : 2 * H], a[2 * H :], u[2 * H :]
         for t in order:
-            np.take(E, x[t], axis=0, out=a, mode="clip")
-            np.matmul(h, U, out=u)
-            gates += u[:, : 2 * H]
+            np.take(E, x[t], axis=1, out=a, mode="clip")
+            np.matmul(U, h, out=u)
+            gates += u[: 2 * H]
             np.tanh(gates, out=gates)
             gates *= 0.5
             gates += 0.5
@@ -125,25 +128,25 @@ class GatedNetwork:
             h -= n
             h *= z
             h += n
-            np.matmul(h, out, out=part)
+            np.matmul(out, h, out=part)
             logits[t] += part
 
     def window_sums(self, windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Sums of the probabilities of all positions of each window (rows of bytes)."""
         sums = np.empty((len(windows), len(self.languages)), np.float64)
-        for start in range(0, len(windows), 2048):
-            x = np.ascontiguousarray(windows[start : start + 2048].T)
-            logits = np.empty((*x.shape, len(self.languages)), np.float32)
-            logits[:] = self.w["bias"]
+        for start in range(0, len(windows), 1024):
+            x = np.ascontiguousarray(windows[start : start + 1024].T).astype(np.intp)
+            logits = np.empty((len(x), len(self.languages), x.shape[1]), np.float32)
+            logits[:] = self.w["bias"][:, None]
             self._read(x, "f", logits, range(len(x)))
             self._read(x, "b", logits, range(len(x) - 1, -1, -1))
-            logits -= logits.max(axis=-1, keepdims=True)
+            logits -= logits.max(axis=1, keepdims=True)
             np.exp(logits, out=logits)
-            logits /= logits.sum(axis=-1, keepdims=True)
-            short = np.flatnonzero(sizes[start : start + 2048] < len(x))
+            logits /= logits.sum(axis=1, keepdims=True)
+            short = np.flatnonzero(sizes[start : start + 1024] < len(x))
             for i in short:
-                logits[sizes[start + i] :, i] = 0
-            sums[start : start + 2048] = logits.sum(axis=0)
+                logits[sizes[start + i] :, :, i] = 0
+            sums[start : start + 1024] = logits.sum(axis=0).T
         return sums
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
