@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import arrow_map, by_blocks
-from larder.llm.nets import Adam, add_rows, glorot, softmax
+from larder.llm.nets import Adam, Squash, add_rows, glorot, softmax
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # label 0: none
 #: Bounds of the training sample, in documents and in characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
 HIDDEN = 16
-WINDOW, OVERLAP = 256, 48
+WINDOW, OVERLAP = 384, 48
+#: Windows are filled up with spaces to a multiple of this, and read with others of their width.
+WIDTH = 32
 TRAIN_WINDOW, BATCH, STEPS = 72, 64, 420
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -207,27 +209,30 @@ class Tagger:
     # reading ----------------------------------------------------------------------------------
 
     def _read(self, x: np.ndarray, d: str, em: np.ndarray, order) -> None:
+        """Add one direction's emissions to ``em`` (positions, labels, windows); windows lie side by side in memory."""
         H = self.hidden
         half = np.concatenate([np.full(3 * H, 0.5, np.float32), np.ones(H, np.float32)])
-        E, U, out = self.w[f"E{d}"] * half, self.w[f"U{d}"] * half, self.w[f"O{d}"]
+        E, U, out = (np.ascontiguousarray(m.T) for m in (self.w[f"E{d}"] * half, self.w[f"U{d}"] * half, self.w[f"O{d}"]))
         size = x.shape[1]
-        h, c, g = (np.zeros((size, H), np.float32) for _ in range(3))
-        a, u = np.empty((size, 4 * H), np.float32), np.empty((size, 4 * H), np.float32)
-        part = np.empty((size, LABELS), np.float32)
-        gates, i, f, o, new = a[:, : 3 * H], a[:, :H], a[:, H : 2 * H], a[:, 2 * H : 3 * H], a[:, 3 * H :]
+        h, c, g = (np.zeros((H, size), np.float32) for _ in range(3))
+        a, u = np.empty((4 * H, size), np.float32), np.empty((4 * H, size), np.float32)
+        part = np.empty((LABELS, size), np.float32)
+        gates, i, f, o, new = a[: 3 * H], a[:H], a[H : 2 * H], a[2 * H : 3 * H], a[3 * H :]
+        squash = Squash(a.shape)
         for t in order:
-            np.take(E, x[t], axis=0, out=a, mode="clip")
-            np.matmul(h, U, out=u)
+            np.take(E, x[t], axis=1, out=a, mode="clip")
+            np.matmul(U, h, out=u)
             a += u
-            np.tanh(a, out=a)
+            squash(a)
             gates *= 0.5
             gates += 0.5
             c *= f
             np.multiply(i, new, out=g)
             c += g
-            np.tanh(c, out=h)
+            np.copyto(h, c)
+            squash(h)
             h *= o
-            np.matmul(h, out, out=part)
+            np.matmul(out, h, out=part)
             em[t] += part
 
     def decode(self, windows: np.ndarray) -> np.ndarray:
@@ -239,19 +244,16 @@ class Tagger:
         leave = max(float((T[1:, 0] - T[0, 0]).max()), float((last[1:] - last[0]).max()))
         stay = float((T[1:, 1:] - T[0, 0]).max())
         lead = max(stay, 0.0) + max(enter + leave - stay, 0.0)
-        for start in range(0, len(windows), 1024):
-            x = np.ascontiguousarray(windows[start : start + 1024].T)
-            em = np.empty((*x.shape, LABELS), np.float32)
-            em[:] = self.w["bias"]
+        for start in range(0, len(windows), 512):
+            x = np.ascontiguousarray(windows[start : start + 512].T).astype(np.intp)
+            em = np.empty((len(x), LABELS, x.shape[1]), np.float32)
+            em[:] = self.w["bias"][:, None]
             self._read(x, "f", em, range(len(x)))
             self._read(x, "b", em, range(len(x) - 1, -1, -1))
-            other = em[:, :, 1].copy()
-            for k in range(2, LABELS):
-                np.maximum(other, em[:, :, k], out=other)
-            np.subtract(em[:, :, 0], other, out=other)
-            open_ = np.flatnonzero(other.min(axis=0) <= lead)
+            ahead = em[:, 0] - em[:, 1:].max(axis=1)
+            open_ = np.flatnonzero(ahead.min(axis=0) <= lead)
             if len(open_):
-                labels[start + open_] = self._viterbi(em[:, open_]).T
+                labels[start + open_] = self._viterbi(em[:, :, open_].transpose(0, 2, 1)).T
         return labels
 
     def _viterbi(self, em: np.ndarray) -> np.ndarray:
@@ -281,25 +283,25 @@ def window_starts(n: int) -> range:
 def label_texts(tagger: Tagger, texts: list[str]) -> list[np.ndarray]:
     """A label for every character of every text, joined from overlapping windows."""
     step, half = WINDOW - OVERLAP, OVERLAP // 2
-    counts = [len(window_starts(len(t))) for t in texts]
-    windows = np.full((sum(counts), WINDOW), 32, np.uint8)
-    row = 0
-    for text, count in zip(texts, counts, strict=True):
-        code = codes(text)
-        for k in range(count):
-            part = code[k * step : k * step + WINDOW]
-            windows[row, : len(part)] = part
-            row += 1
-    labels = tagger.decode(windows)
+    parts = [code[k : k + WINDOW] for code in map(codes, texts) for k in window_starts(len(code))]
+    widths = np.array([-(-len(p) // WIDTH) * WIDTH for p in parts], np.int64)
+    labels: list = [None] * len(parts)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width).tolist()
+        windows = np.full((len(rows), width), 32, np.uint8)
+        for row, i in zip(windows, rows, strict=True):
+            row[: len(parts[i])] = parts[i]
+        for i, found in zip(rows, tagger.decode(windows), strict=True):
+            labels[i] = found if found.any() else None
     out, row = [], 0
-    for text, count in zip(texts, counts, strict=True):
-        n = len(text)
+    for text in texts:
+        n, count = len(text), len(window_starts(len(text)))
         whole = np.zeros(n, np.uint8)
-        if count and labels[row : row + count].any():
-            for k in range(count):
+        for k in range(count):
+            if labels[row + k] is not None:
                 low = k * step + (half if k else 0)
                 high = n if k == count - 1 else min(n, k * step + WINDOW - half)
-                whole[low:high] = labels[row + k, low - k * step : high - k * step]
+                whole[low:high] = labels[row + k][low - k * step : high - k * step]
         row += count
         out.append(whole)
     return out
