@@ -33,7 +33,7 @@ ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: A full stop or comma that does not follow a letter or digit of a fixed, old range.
 LOOSE_MARK = re.compile(r"[.,](?=[ \n])(?<![0-9A-Za-zÀ-ÖØ-öø-ɏ][.,])")
 #: Distinct chunks that a worker remembers, about 250 bytes each.
-CHUNKS = 150_000
+CHUNKS = 600_000
 NEVER = np.iinfo(np.int64).max
 
 
