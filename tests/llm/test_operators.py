@@ -262,8 +262,9 @@ def test_personal_data(spark, messy, nothing):
     x = np.ascontiguousarray(windows.T)
     em = np.empty((*x.shape, personal.LABELS), np.float32)
     em[:] = tagger.w["bias"]
-    tagger._read(x, "f", em, range(len(x)))
-    tagger._read(x, "b", em, range(len(x) - 1, -1, -1))
+    by_label = em.transpose(0, 2, 1)
+    tagger._read(x, "f", by_label, range(len(x)))
+    tagger._read(x, "b", by_label, range(len(x) - 1, -1, -1))
     assert (quick == tagger._viterbi(em).T).all()
     # respelled values put into texts without any are found, and nothing else is
     rng = np.random.default_rng(9)
