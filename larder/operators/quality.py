@@ -47,23 +47,25 @@ def session_hash() -> Column:
 
 
 def keep_first(df: DataFrame, key: Column | list[Column], order: list[str]) -> DataFrame:
-    """One row per key: the first by ``order``, which must include a unique tie-break.
+    """One row per key: the first by ``order``, whose values must be known and differ within a key.
 
-    ``min_by`` combines on the map side, so a key that holds a third of all rows reaches
-    the reducer as at most one row per map task; a window would sort the whole group in
-    one task.
+    The first order value of each key comes from an aggregation of two narrow columns, combined on the
+    map side, and a semi join brings the rows back. Its keys include the order value, so a key that
+    holds a third of all rows is spread over the tasks, and columns that nobody reads afterwards
+    are never read. ``df`` is read twice: pass a stored table or cheap projections of one.
     """
     keys = key if isinstance(key, list) else [key]
-    named = [k.alias(f"_key{i}") for i, k in enumerate(keys)]
-    columns = df.columns
-    grouped = df.groupBy(*named).agg(
-        F.min_by(F.struct(*columns), F.struct(*order)).alias("_row")
-    )
-    return grouped.select(*[F.col("_row")[c].alias(c) for c in columns])
+    names = [f"_key{i}" for i in range(len(keys))]
+    first = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
+    slim = df.select(*[k.alias(n) for k, n in zip(keys, names)], *order)
+    firsts = slim.groupBy(*names).agg(first.alias("_first"))
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    same = [k.eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    return df.join(firsts, [*same, place == F.col("_first")], "left_semi")
 
 
 def dedupe_session(df: DataFrame, order: list[str]) -> DataFrame:
-    """Drop records whose name and URL were seen before in this session."""
+    """Drop records whose name and URL were seen before in this session (see ``keep_first``)."""
     return keep_first(df, session_hash(), order)
 
 

@@ -23,7 +23,7 @@ from larder.queries.tables import (
 from larder.sources import sinks
 from larder.sources.pages import read_store
 from larder.schema import RECIPE_FIELDS
-from larder.storage import work_folder
+from larder.storage import fresh_folder
 
 REASON_SQL = """CASE WHEN source IS NULL OR source = '' THEN 'Missing ''source''' WHEN name IS NULL OR name = '' THEN 'Missing ''name'''
   WHEN url IS NULL OR url = '' THEN 'Missing ''url''' WHEN len(ingredients) = 0 THEN 'Missing ''ingredients''' END"""
@@ -298,6 +298,4 @@ def q_snapshot(spark, sf):
 
 
 def _fresh(spark):
-    import uuid
-
-    return f"{work_folder(spark)}/store-{uuid.uuid4().hex}"
+    return fresh_folder(spark, "store")
