@@ -1,8 +1,9 @@
 """Page shredding: HTML text -> one array of nodes per page.
 
-The only Python worker code of the package. One Arrow pass tokenises each page with a
-regular expression and writes the node columns directly as Arrow arrays; everything after
-it is Column work in the JVM. Broken markup is read leniently: void elements never nest,
+The only Python worker code of the extraction. One Arrow pass tokenises each page with a
+regular expression and writes the node columns directly as Arrow arrays; for sites with rules
+it also marks the elements that the rules' paths reach (``operators.paths``). Everything
+after it is Column work in the JVM. Broken markup is read leniently: void elements never nest,
 ``p``/``li``/``td``/``tr``/``dt``/``dd``/``option`` end where the next block or sibling
 begins, unclosed elements end with their parent, unknown end tags are ignored. A start tag that
 ends in ``/>`` is an empty element, and pages without ``html`` or ``body`` tags get these elements.
@@ -23,6 +24,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from larder.operators import paths
+from larder.operators.paths import Page, SitePaths
 from larder.schema import NODE_ATTRS, NODE_TYPE
 
 TOKEN = re.compile(
@@ -75,13 +78,12 @@ MAX_CHARS = 16_000_000
 ATTR_SLOT = {a.replace("_", "-"): i for i, a in enumerate(NODE_ATTRS)}
 ITEMSCOPE = ATTR_SLOT["itemscope"]
 
-# The optional page index lists element positions by tag ("li"), by the whole value of these
+# The element lists of a page, for the paths of its site: by tag ("li"), by the whole value of these
 # attributes ("id=x"), and by the presence of those that rules also test in part ("@class").
 INDEXED_VALUES = frozenset(
     ["class", "id", "itemprop", "itemtype", "property", "name", "rel", "style"]
 )
 INDEXED_PRESENCE = frozenset(["class", "title"])
-INDEX_TYPE = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
 VALUE_SLOTS = {NODE_ATTRS.index(a): a + "=" for a in INDEXED_VALUES}
 PRESENCE_SLOTS = {NODE_ATTRS.index(a): "@" + a for a in INDEXED_PRESENCE}
 
@@ -89,19 +91,25 @@ PRESENCE_SLOTS = {NODE_ATTRS.index(a): "@" + a for a in INDEXED_PRESENCE}
 class NodeColumns:
     """Flat node columns of a batch of pages."""
 
-    def __init__(self, index: bool = False) -> None:
-        self.index: dict[str, list[int]] | None = {} if index else None
-        self.index_keys: list[str] = []
-        self.index_positions: list[int] = []
-        self.index_ends: list[int] = [0]
-        self.index_offsets: list[int] = [0]
+    def __init__(self, sites: dict[str, SitePaths] | None = None) -> None:
+        self.sites = sites or {}
+        self.index: dict[str, list[int]] | None = None  # of a page whose site has paths
+        self.page_attrs: dict[int, dict[int, str]] = {}
+        self.scopes: list[int] = []
+        self.scope_offsets: list[int] = [0]
+        self.hits: list[tuple[int, int]] = []  # rule, position
+        self.hit_offsets: list[int] = [0]
+        self.origins: list[int] = []
+        self.origin_offsets: list[int] = [0]
         self.rows: list[tuple] = []  # pos, parent, depth, item, tag, text
         self.end: list[int] = []
         self.attr_rows: list[list[int]] = [[] for _ in NODE_ATTRS]
         self.attr_values: list[list[str]] = [[] for _ in NODE_ATTRS]
         self.offsets: list[int] = [0]
 
-    def add_page(self, html: str) -> None:
+    def add_page(self, html: str, source: str | None = None) -> None:
+        site = self.sites.get(source)
+        self.index = {} if site else None
         rows, end, index = self.rows, self.end, self.index
         base = len(rows)
         stack: list[tuple[str, int, int]] = [("", -1, -1)]  # tag, position, nearest item
@@ -207,6 +215,19 @@ class NodeColumns:
                 need_body()
             add_text(html[at:])
         pop_to(1)
+        if site:
+            self.add_hits(site, base)
+
+    def add_hits(self, site: SitePaths, base: int) -> None:
+        """Note the elements that the paths of the page's site reach."""
+        page = Page(self.rows[base:], self.end[base:], self.page_attrs, self.index)
+        scopes, hits = paths.match(page, site)
+        self.scopes.extend(scopes)
+        for rule, pos, origins in hits:
+            self.hits.append((rule, pos))
+            self.origins.extend(origins)
+            self.origin_offsets.append(len(self.origins))
+        self.page_attrs = {}
 
     def add_attrs(self, raw: str, row: int, pos: int) -> bool:
         """Note the known attributes of an element, the first of each name; tells whether
@@ -224,6 +245,7 @@ class NodeColumns:
                 value = unescape(value)
             self.attr_values[slot].append(value)
             if self.index is not None:
+                self.page_attrs.setdefault(pos, {})[slot] = value
                 if slot in VALUE_SLOTS:
                     self.index.setdefault(VALUE_SLOTS[slot] + value, []).append(pos)
                 if slot in PRESENCE_SLOTS:
@@ -233,24 +255,18 @@ class NodeColumns:
 
     def close_row(self) -> None:
         self.offsets.append(len(self.rows))
-        if self.index is not None:
-            for key, positions in self.index.items():
-                self.index_keys.append(key)
-                self.index_positions.extend(positions)
-                self.index_ends.append(len(self.index_positions))
-            self.index_offsets.append(len(self.index_keys))
-            self.index.clear()
-
-    def index_to_arrow(self) -> pa.Array:
-        positions = pa.ListArray.from_arrays(
-            pa.array(np.asarray(self.index_ends, dtype=np.int32)),
-            pa.array(np.asarray(self.index_positions, dtype=np.int32)),
-        )
-        return pa.MapArray.from_arrays(
-            pa.array(np.asarray(self.index_offsets, dtype=np.int32)),
-            pa.array(self.index_keys, pa.string()),
-            positions,
-        )
+        self.scope_offsets.append(len(self.scopes))
+        self.hit_offsets.append(len(self.hits))
+
+    def matches_to_arrow(self) -> dict[str, pa.Array]:
+        ints = lambda values: pa.array(np.asarray(values, dtype=np.int32))
+        rule, pos = zip(*self.hits) if self.hits else ((), ())
+        origins = pa.ListArray.from_arrays(ints(self.origin_offsets), ints(self.origins))
+        hits = pa.StructArray.from_arrays([ints(rule), ints(pos), origins], names=["rule", "pos", "from"])
+        return {
+            "scopes": pa.ListArray.from_arrays(ints(self.scope_offsets), ints(self.scopes)),
+            "hits": pa.ListArray.from_arrays(ints(self.hit_offsets), hits),
+        }
 
     def to_arrow(self) -> pa.Array:
         n = len(self.rows)
@@ -274,44 +290,49 @@ class NodeColumns:
 
 
 def shred_batches(
-    batches: Iterator[pa.RecordBatch], index: bool = False
+    batches: Iterator[pa.RecordBatch], sites: dict[str, SitePaths] | None = None
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = [i for i, name in enumerate(batch.schema.names) if name != "html"]
         html = batch.column(batch.schema.get_field_index("html"))
-        start, chars, cols = 0, 0, NodeColumns(index)
+        source = batch.column(batch.schema.get_field_index("source")) if sites else None
+        start, chars, cols = 0, 0, NodeColumns(sites)
 
         def flush(stop: int) -> pa.RecordBatch:
             part = batch.slice(start, stop - start)
             arrays = [part.column(i) for i in keep]
             names = [batch.schema.names[i] for i in keep]
             made = {"nodes": cols.to_arrow()}
-            if index:
-                made["node_index"] = cols.index_to_arrow()
+            if sites:
+                made |= cols.matches_to_arrow()
             return pa.RecordBatch.from_arrays([*arrays, *made.values()], names=[*names, *made])
 
         for row in range(batch.num_rows):
             text = html[row].as_py()
             if text:
-                cols.add_page(text)
+                cols.add_page(text, source[row].as_py() if sites else None)
                 chars += len(text)
             cols.close_row()
             if len(cols.rows) >= MAX_NODES or chars >= MAX_CHARS:
                 yield flush(row + 1)
-                start, chars, cols = row + 1, 0, NodeColumns(index)
+                start, chars, cols = row + 1, 0, NodeColumns(sites)
         if start < batch.num_rows:
             yield flush(batch.num_rows)
 
 
-def shred_with_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return shred_batches(batches, index=True)
+INTS = T.ArrayType(T.IntegerType())
+HIT_TYPE = T.StructType(
+    [T.StructField("rule", T.IntegerType()), T.StructField("pos", T.IntegerType()), T.StructField("from", INTS)]
+)
+MATCH_FIELDS = [T.StructField("scopes", INTS), T.StructField("hits", T.ArrayType(HIT_TYPE))]
 
 
-def shred_pages(pages: DataFrame, index: bool = False) -> DataFrame:
+def shred_pages(pages: DataFrame, sites: dict[str, SitePaths] | None = None) -> DataFrame:
     """Replace the ``html`` column of a page table by ``nodes ARRAY<STRUCT<...>>``.
 
-    ``index`` adds ``node_index MAP<STRING, ARRAY<INT>>``, element positions by tag and
-    attribute value, for extractions that make many selections on a page.
+    ``sites`` are the paths of sites by ``source``; their pages get ``scopes`` (the scope elements)
+    and ``hits`` (what each rule's path reaches, and from which scopes). Pages of other sites
+    have none.
 
     All other columns pass through, so select only what later steps need: neither a
     filter nor a column list moves below the Python node by itself.
@@ -319,8 +340,13 @@ def shred_pages(pages: DataFrame, index: bool = False) -> DataFrame:
     schema = T.StructType(
         [f for f in pages.schema.fields if f.name != "html"]
         + [T.StructField("nodes", T.ArrayType(NODE_TYPE))]
-        + ([T.StructField("node_index", INDEX_TYPE)] if index else [])
+        + (MATCH_FIELDS if sites else [])
     )
-    # Ship this module by value: executors need not have the package installed.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return pages.mapInArrow(shred_with_index if index else shred_batches, schema)
+    # Ship these modules by value: executors need not have the package installed.
+    for module in (sys.modules[__name__], paths):
+        cloudpickle.register_pickle_by_value(module)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return shred_batches(batches, sites)
+
+    return pages.mapInArrow(run, schema)

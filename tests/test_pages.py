@@ -12,7 +12,7 @@ from larder.operators import links as L
 from larder.operators import microdata as M
 from larder.operators.records import extract_records, normalize_records
 from larder.operators.shred import NodeColumns, shred_pages
-from larder.operators.site_extract import site_extract
+from larder.operators.site_extract import shred_site_pages, site_extract
 from larder.plans import link_rules, pipeline
 from larder.plans.site_rules import SITES
 
@@ -168,7 +168,7 @@ SITE_PAGES = {
 @pytest.fixture(scope="module")
 def site_records(spark):
     df = pages(spark, *[(s, p[0]) for s, p in SITE_PAGES.items()])
-    rows = normalize_records(site_extract(shred_pages(df, index=True), SITES), ("page_id", "item_no")).collect()
+    rows = normalize_records(site_extract(shred_site_pages(df, SITES), SITES), ("page_id", "item_no")).collect()
     return {r.source: r for r in rows}
 
 
@@ -190,7 +190,7 @@ def test_page_wide_fields_repeat_per_scope(spark):
     html = '<blockquote class="recipe hrecipe"><b class="fn">A</b></blockquote><blockquote class="recipe hrecipe"><b class="fn">B</b></blockquote>'
     scoped = html.replace("blockquote", "div")
     df = pages(spark, ("loveandoliveoil", html), ("fortheloveofcooking", scoped))
-    got = records(site_extract(shred_pages(df, index=True), SITES), "name")
+    got = records(site_extract(shred_site_pages(df, SITES), SITES), "name")
     assert got == [("A",), ("A",), ("A",), ("B",)]
 
 
@@ -206,7 +206,7 @@ def test_fallback_site_and_dispatch(spark):
 def test_result_does_not_depend_on_partitions(spark):
     df = pages(spark, *[(s, p[0]) for s, p in list(SITE_PAGES.items())[:8]])
     a, b = (
-        normalize_records(site_extract(shred_pages(df.repartition(n), index=True), SITES), ("page_id",)).collect() for n in (1, 7)
+        normalize_records(site_extract(shred_site_pages(df.repartition(n), SITES), SITES), ("page_id",)).collect() for n in (1, 7)
     )
     assert sorted(map(str, a)) == sorted(map(str, b))
 
