@@ -12,6 +12,7 @@ from larder.operators.shred import shred_pages
 from larder.queries import query
 from larder.queries.tables import ORDERS_SQL, _t, recipe_pages, table
 from larder.sources import feeds, pages as P
+from larder.storage import fresh_folder
 
 
 def shredded(spark, sf):
@@ -328,11 +329,16 @@ def _xml_text(col):
     return F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
 
+#: Pages that one feed document or sitemap lists.
+LISTED = 40
+
+
 def _feeds(spark, sf):
-    """One RSS document per host and variant; hosts below www send broken ones."""
+    """RSS documents of ``LISTED`` pages each per host and variant; hosts below www send broken ones."""
     host = url_host("url")
     rows = table(spark, sf, "pages").select(
         host.alias("host"),
+        F.floor(F.col("page_id") / LISTED).alias("part"),
         F.explode(F.array(F.lit("item"), F.lit("origlink"), F.lit("any"))).alias("variant"),
         _xml_text(F.col("url")).alias("u"),
     )
@@ -341,7 +347,7 @@ def _feeds(spark, sf):
         F.col("variant") == "origlink",
         _t("<item><title>t</title><link>http://proxy.example.com/</link><", prefix, ":origLink>", F.col("u"), "</", prefix, ":origLink></item>"),
     ).otherwise(_t("<item><title>t</title><link> ", F.col("u"), "\n</link></item>"))
-    docs = rows.groupBy("host", "variant").agg(
+    docs = rows.groupBy("host", "variant", "part").agg(
         F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"),
         F.array_join(F.array_sort(F.collect_list(_t('<p><a class="x" href="', F.col("u"), '">more<br></a>'))), "").alias("anchors"),
     )
@@ -365,7 +371,7 @@ def _feeds(spark, sf):
 )
 def q_feed_links(spark, sf):
     """Anchors of broken documents count for two variants; for the third they are adverts."""
-    return feeds.feed_links(_feeds(spark, sf), fallback=F.col("variant") != "origlink")
+    return feeds.feed_links(_feeds(spark, sf), fallback=F.col("variant") != "origlink").distinct()
 
 
 @query(
@@ -384,25 +390,28 @@ def q_feed_pages(spark, sf):
         OR (top = 'example.net' AND regexp_matches(url, '/.+') AND NOT regexp_matches(url, '[?]')))"""
 )
 def q_sitemap_urls(spark, sf):
-    """One sitemap per host, listed by one of several parts of the index of a top domain.
+    """Sitemaps of ``LISTED`` pages of a host, named by one of several parts of the index of its top domain.
 
-    Parts name the index they are named in, a circle; the .org index is malformed.
+    Parts and index are stored in several documents each. Parts name the index they are named in, a circle; the .org
+    index is malformed.
     """
-    pages = table(spark, sf, "pages").select(url_host("url").alias("host"), _xml_text(F.col("url")).alias("u"))
+    pages = table(spark, sf, "pages").select(
+        url_host("url").alias("host"), _xml_text(F.col("url")).alias("u"), F.floor(F.col("page_id") / LISTED).alias("no")
+    )
     pages = pages.withColumn("top", F.regexp_extract("host", r"example\.[a-z]+$", 0))
-    site = _t("http://", F.col("host"), "/sitemap.xml")
-    maps = pages.groupBy("host").agg(
-        F.array_join(F.array_sort(F.collect_list(_t("<url><loc>", F.col("u"), "</loc></url>"))), "").alias("x")
-    ).select(site.alias("sitemap_url"), _t('<?xml version="1.0"?><urlset>', F.col("x"), "</urlset>").alias("xml"))
-    top, part = _t("http://", F.col("top"), "/index.xml"), F.pmod(F.xxhash64("host"), F.lit(5))
-    name = _t("http://", F.col("top"), "/part-", part, ".xml")
+    joined = lambda c: F.array_join(F.array_sort(F.collect_list(c)), "").alias("x")
     listed = lambda c: _t("<sitemap><loc>", c, "</loc></sitemap>")
-    parts = pages.groupBy("top", name.alias("sitemap_url")).agg(F.array_join(F.array_sort(F.collect_set(listed(site))), "").alias("x")).select(
+    top, site = _t("http://", F.col("top"), "/index.xml"), _t("http://", F.col("host"), "/sitemap-", F.col("no"), ".xml")
+    part = _t("http://", F.col("top"), "/part-", F.pmod(F.xxhash64("host"), F.lit(5)), ".xml")
+    maps = pages.groupBy("host", "no").agg(joined(_t("<url><loc>", F.col("u"), "</loc></url>"))).select(
+        site.alias("sitemap_url"), _t('<?xml version="1.0"?><urlset>', F.col("x"), "</urlset>").alias("xml")
+    )
+    sites = pages.select("top", "host", "no").distinct()
+    parts = sites.groupBy("top", part.alias("sitemap_url"), "no").agg(joined(listed(site))).select(
         "sitemap_url", _t("<sitemapindex>", listed(top), F.col("x"), "</sitemapindex>").alias("xml")
     )
-    index = pages.groupBy("top").agg(
-        F.array_join(F.array_sort(F.collect_set(listed(name))), "").alias("x")
-    ).select(
+    named = sites.select("top", part.alias("name")).distinct().groupBy("top", F.pmod(F.xxhash64("name"), F.lit(2)))
+    index = named.agg(joined(listed(F.col("name")))).select(
         top.alias("sitemap_url"),
         F.when(F.col("top") == "example.org", "<sitemapindex><sitemap><loc>oops")
         .otherwise(_t("<sitemapindex>", F.col("x"), "</sitemapindex>")).alias("xml"),
@@ -414,3 +423,25 @@ def q_sitemap_urls(spark, sf):
         L.LinkRule("example.org", r"/.+"),
     ]
     return feeds.sitemap_urls(maps.unionByName(index), roots, rules)
+
+
+@query(
+    """SELECT 'http://www.food.com/recipe/' || CAST(l_orderkey AS VARCHAR) || '?a=' || CAST(l_linenumber AS VARCHAR) || '&b=' || CAST(l_partkey AS VARCHAR) AS loc,
+       'url' AS kind, count(*) AS n FROM lineitem GROUP BY 1
+       UNION ALL SELECT 'http://www.food.com/sitemap-' || CAST(o_orderkey AS VARCHAR) || '.xml', 'sitemap', 1 FROM orders"""
+)
+def q_sitemap_files(spark, sf):
+    """One sitemap file of all order lines and one index file of all orders, each read by many tasks."""
+    folder = fresh_folder(spark, "sitemap-files")
+    line = table(spark, sf, "lineitem")
+    url = _t("http://www.food.com/recipe/", F.col("l_orderkey"), "?a=", F.col("l_linenumber"), "&b=", F.col("l_partkey"))
+    entry = _t("<url>\n<loc> ", _xml_text(url), "</loc><lastmod>2012-01-01</lastmod><priority>0.5</priority></url>")
+    part = _t("<sitemap><loc>http://www.food.com/sitemap-", F.col("o_orderkey"), ".xml</loc></sitemap>")
+    for name, root, entries in (
+        ("url", "urlset", line.select(entry.alias("value"))),
+        ("index", "sitemapindex", table(spark, sf, "orders").select(part.alias("value"))),
+    ):
+        first, last = (spark.createDataFrame([(x,)], "value string").coalesce(1) for x in (f'<?xml version="1.0"?><{root} xmlns="http://example.org/">', f"</{root}>"))
+        first.union(entries).union(last).coalesce(1).write.text(f"{folder}/{name}")
+    found = feeds.sitemap_file_entries(spark, f"{folder}/*/part-*")
+    return found.groupBy("loc", "kind").agg(F.count("*").alias("n"))

@@ -172,3 +172,56 @@ def test_sites_by_host(spark):
     pages = spark.createDataFrame([(u,) for u in urls], "url string")
     found = with_source(pages, {"one": ["A.com"], "two": ["b.a.com"]}).collect()
     assert [r.source for r in found] == ["one", "one", "two", None, None, None]
+
+
+def test_narrow_keys_before_wide_rows(spark):
+    """No sort of records: only key and order are aggregated, and rows come back by key and order."""
+    items = spark.range(1000).select(
+        F.col("id").alias("arrival"), F.lit("s").alias("source"), F.concat(F.lit("n"), F.col("id") % 10).alias("name"),
+        F.lit("u").alias("url"), F.array(F.lit("x")).alias("ingredients"),
+    )
+    first = quality.dedupe_session(items, ["arrival"])
+    assert sorted(r.arrival for r in first.collect()) == list(range(10))
+    assert "SortAggregate" not in first._jdf.queryExecution().toString()
+
+
+def test_repeated_names_count_once(spark):
+    """Publishers, categories and stored recipes that share a name or match key: the least id."""
+    t = _tables(spark)
+    e = spark.createDataFrame
+    twice = Tables(
+        e([(1, "s"), (2, "s")], "id long, name string"),
+        t.recipes.unionByName(t.recipes.withColumn("id", F.lit("r9"))),
+        t.ingredients,
+        e([("c2", "soup"), ("c1", "soup")], "id string, name string"),
+        t.categorizations,
+    )
+    batch = e(
+        [(1, "s", "n", "u", ["a"], ["soup"]), (2, "s", "other", "v", ["b"], ["soup"])],
+        "arrival long, source string, name string, url string, ingredients array<string>, recipeCategory array<string>",
+    )
+    out = upsert_recipes(twice, batch, ["arrival"])
+    new = out.recipes.filter("name = 'other'").collect()
+    assert len(new) == 1 and new[0].publisher_id == 1 and out.recipes.count() == 3
+    assert [(r.category_id, r.recipe_id) for r in out.categorizations.filter("category_id in ('c1', 'c2')").collect() if r.recipe_id == new[0].id] == [("c1", new[0].id)]
+    assert {r.recipe_id for r in out.ingredients.filter("name in ('a', 'b')").collect()} == {"r1", new[0].id}
+
+
+def test_one_sitemap_file_is_read_by_many_tasks(spark, tmp_path):
+    """50,000 entries on one line, entities and odd tags among them; every entry once, whatever the ranges."""
+    from larder.sources.feeds import sitemap_file_entries
+
+    urls = [f"http://a.com/{i}?x=1&y={i}" for i in range(50_000)]
+    body = "".join(f'<url><loc>\n {u.replace("&", "&amp;")} </loc><image:image><image:loc>no</image:loc></image:image></url>' for u in urls)
+    (tmp_path / "map.xml").write_text(f'<?xml version="1.0"?><urlset xmlns="x">{body}</urlset>')
+    (tmp_path / "index.xml").write_text('<sitemapindex>\n<sitemap a="b">\n<loc>http://a.com/map.xml</loc>\n</sitemap></sitemapindex>')
+    (tmp_path / "broken.xml").write_text("<urlset><url><loc>http://a.com/open")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200_000)
+    try:
+        found = sitemap_file_entries(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 10
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.loc for r in rows if r.kind == "url" and r.file.endswith("map.xml")) == sorted(urls)
+    assert [(r.loc, r.file.rsplit("/", 1)[1]) for r in rows if r.kind == "sitemap"] == [("http://a.com/map.xml", "index.xml")]
