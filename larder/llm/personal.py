@@ -28,7 +28,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
 HIDDEN = 16
 WINDOW, OVERLAP = 384, 48
 #: Windows are filled up with spaces to a multiple of this, and read with others of their width.
-WIDTH = 32
+WIDTH = 128
 TRAIN_WINDOW, BATCH, STEPS = 72, 64, 420
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -244,8 +244,8 @@ class Tagger:
         leave = max(float((T[1:, 0] - T[0, 0]).max()), float((last[1:] - last[0]).max()))
         stay = float((T[1:, 1:] - T[0, 0]).max())
         lead = max(stay, 0.0) + max(enter + leave - stay, 0.0)
-        for start in range(0, len(windows), 512):
-            x = np.ascontiguousarray(windows[start : start + 512].T).astype(np.intp)
+        for start in range(0, len(windows), 2048):
+            x = np.ascontiguousarray(windows[start : start + 2048].T).astype(np.intp)
             em = np.empty((len(x), LABELS, x.shape[1]), np.float32)
             em[:] = self.w["bias"][:, None]
             self._read(x, "f", em, range(len(x)))
