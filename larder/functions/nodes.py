@@ -7,8 +7,6 @@ and a descendant test is two integer comparisons; nothing recurses and nothing s
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -249,7 +247,3 @@ def page_meta(nodes: Column | str) -> Column:
 
     # transform over a one-element array binds the short list once for all look-ups
     return F.get(F.transform(F.array(found), pick), F.lit(0))
-
-
-def any_of(*tests: Column) -> Column:
-    return reduce(lambda a, b: a | b, tests)

@@ -58,9 +58,6 @@ def trim_whitespace(col: Column | str) -> Column:
     return clean_string(col)
 
 
-def clean_list(arr: Column | str) -> Column:
-    return F.transform(as_col(arr), clean_string)
-
 
 def strip_html(col: Column | str, escape: bool = False) -> Column:
     """Remove tags, comments and declarations; the text of scripts stays.

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from larder.operators import report as R
 from larder.queries import query
 from larder.queries.tables import table
+from larder.storage import fresh_folder
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -58,3 +61,14 @@ def q_report_total(spark, sf):
 )
 def q_report_json(spark, sf):
     return R.report_json(R.source_report(_store(spark, sf), _as_of()))
+
+
+@query(f"SELECT days, source, count(*) AS total FROM {WINDOWED} GROUP BY 1, 2")
+def q_report_from_counts(spark, sf):
+    """Three batches, each leaving its daily counts; the report reads these alone."""
+    folder = fresh_folder(spark, "counts")
+    rows = _store(spark, sf).withColumn("batch", F.pmod(F.xxhash64("ts"), F.lit(3)))
+    for n in range(3):
+        R.daily_counts(rows.filter(F.col("batch") == n)).write.parquet(f"{folder}/batch={n}")
+    kept = R.merge_counts(spark.read.parquet(folder))
+    return R.report_from_counts(kept, dt.datetime.fromisoformat(AS_OF))

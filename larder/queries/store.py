@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import maintain as MT
 from larder.operators import quality as Q
+from larder.operators.filed import file_tables, read_filed, upsert_filed
 from larder.operators.upsert import MATCH_KEYS, Tables, insert_if_absent, upsert_recipes
 from larder.queries import query
 from larder.queries.tables import (
@@ -141,7 +142,8 @@ touched AS (
 categories AS (SELECT n_name AS id, CASE WHEN n_nationkey = 0 THEN 'en' WHEN n_nationkey = 1 THEN 'de' ELSE n_name END AS name FROM nation)"""
 
 
-def _relational(spark, sf):
+def _stored_tables(spark, sf):
+    """(tables, valid batch)"""
     publishers = _publishers(spark, sf)
     valid, _ = Q.split_valid(stored_items(spark, sf))
     rows = valid.join(
@@ -168,9 +170,24 @@ def _relational(spark, sf):
     links = spark.createDataFrame([], "category_id string, recipe_id string")
     tables = Tables(publishers, old.drop("arrival", "ingredients"), ingredients, categories, links)
     batch, _ = Q.split_valid(batch_items(spark, sf))
+    return tables, batch
+
+
+def _relational(spark, sf):
+    tables, batch = _stored_tables(spark, sf)
     return upsert_recipes(tables, batch, ["arrival"])
 
 
+def _filed(spark, sf):
+    """The same upsert in place, into tables filed in buckets, and once more: the second run changes nothing."""
+    tables, batch = _stored_tables(spark, sf)
+    root = fresh_folder(spark, "filed")
+    file_tables(tables, root, buckets=8)
+    for _ in range(2):
+        upsert_filed(spark, root, tables.publishers, batch, ["arrival"], buckets=8)
+    return read_filed(spark, root, tables.publishers)
+
+
 @query(
     f"""WITH {RELATIONAL_SQL} SELECT r.id, r.source, coalesce('changed ' || t.lang, r.description) AS description, r.name, r.original_url,
         r.image AS original_photo_url, r.publisher_id, CAST(NULL AS BOOLEAN) AS valid_recipe, CAST(NULL AS INTEGER) AS pins
@@ -210,6 +227,32 @@ def q_upsert_links(spark, sf):
     return _relational(spark, sf).categorizations
 
 
+FILED_COUNTS_SQL = """, c AS (SELECT id, name FROM categories
+        UNION ALL SELECT DISTINCT md5(lang), lang FROM touched WHERE lang NOT IN (SELECT name FROM categories)),
+      links AS (SELECT c.id, recipe_id FROM touched JOIN c ON c.name = lang WHERE old_id IS NULL)"""
+
+
+@query(
+    f"""WITH {RELATIONAL_SQL}{FILED_COUNTS_SQL}, all_rows AS (
+          SELECT id, name, original_url, description, publisher_id, ingredients, false AS created FROM recipes WHERE id NOT IN (SELECT recipe_id FROM touched)
+          UNION ALL SELECT recipe_id, name, url, 'changed ' || lang, publisher_id, ingredients, old_id IS NULL FROM touched)
+        SELECT a.id, a.name, original_url, coalesce(a.description, '') AS description, publisher_id,
+          (SELECT string_agg(x, '|' ORDER BY x) FROM unnest(ingredients) t(x)) AS ingredients,
+          (SELECT count(*) FROM links l WHERE l.recipe_id = a.id) AS n_links, (SELECT count(*) FROM c) AS n_categories
+        FROM all_rows a"""
+)
+def q_upsert_filed(spark, sf):
+    t = _filed(spark, sf)
+    lines = t.ingredients.groupBy("recipe_id").agg(F.array_join(F.array_sort(F.collect_list("name")), "|").alias("ingredients"))
+    links = t.categorizations.groupBy("recipe_id").agg(F.count("*").alias("n_links"))
+    rows = t.recipes.join(lines, t.recipes["id"] == lines["recipe_id"], "left").drop("recipe_id")
+    rows = rows.join(links, rows["id"] == links["recipe_id"], "left")
+    return rows.select(
+        "id", "name", "original_url", F.coalesce("description", F.lit("")).alias("description"), "publisher_id", "ingredients",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.lit(t.categories.count()).cast("bigint").alias("n_categories"),
+    )
+
+
 # --- clean-up -----------------------------------------------------------------------------
 
 CLEAN_LINES = "list_filter(list_transform(ingredients, lambda x: trim(regexp_replace(x, '[ \\n\\t]+', ' ', 'g'))), lambda x: NOT contains(lower(x), 'ingredient'))"
@@ -265,6 +308,25 @@ def q_cleanup_store(spark, sf):
     )
 
 
+@query(
+    f"""WITH {STORE_SQL} SELECT id AS _id, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CASE WHEN {NEW_REASON} IS NULL THEN {CLEAN_NAME} ELSE name END AS name,
+        CASE WHEN {NEW_REASON} IS NULL THEN trim(regexp_replace(regexp_replace(description, '</?b>', '', 'g'), '[ \\t]+', ' ', 'g')) ELSE description END AS description,
+        CAST(CASE WHEN {NEW_REASON} IS NULL THEN len({CLEAN_LINES}) ELSE len(ingredients) END AS BIGINT) AS n_lines FROM store"""
+)
+def q_cleanup_stale(spark, sf):
+    """The store in three batches, cleaned in place when two of them are there and again when the third has come."""
+    items = stored_items(spark, sf)
+    part, folder = F.pmod(F.xxhash64("_id"), F.lit(3)), fresh_folder(spark, "batches")
+    for n in range(3):
+        MT.add_batch(items.filter(part == n), folder, n)
+        if n:
+            MT.cleanup_stale(spark, folder, items.schema)
+    return MT.read_generations(spark, folder, items.schema).select(
+        "_id", "url", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "name", "description",
+        F.size("ingredients").cast("long").alias("n_lines"),
+    )
+
+
 # --- sinks --------------------------------------------------------------------------------
 
 

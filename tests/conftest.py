@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def make_session() -> SparkSession:
+    shared = os.environ.get("LARDER_WORK", f"/tmp/larder-work-{os.getpid()}")
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("larder-tests")
@@ -18,6 +19,8 @@ def make_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
@@ -27,4 +30,8 @@ def make_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    yield make_session()
+    from larder.storage import remove_staged
+
+    session = make_session()
+    yield session
+    remove_staged(session)
