@@ -1,8 +1,4 @@
-"""Every registered query against its SQL on the smallest tables.
-
-The queries that render and extract recipe pages take longest, mostly in planning; they run
-when LARDER_ALL is set (``python -m tests.oracle <folder>`` also runs all).
-"""
+"""Every registered query against its SQL on the smallest tables."""
 
 from __future__ import annotations
 
@@ -11,15 +7,10 @@ import os
 import pytest
 
 from __spark_entry__ import entry, registry
+from larder.storage import remove_staged
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {
-    "q_extract_pages", "q_extraction_contract", "q_site_rules", "q_fallback", "q_overlay", "q_itemprops",
-    "q_itemprops_lower", "q_image_preference", "q_hrecipe", "q_data_vocab", "q_microdata", "q_stream_equals_batch",
-    "q_recipes_per_source", "q_page_meta", "q_text_and_attributes", "q_microdata_items",
-    "q_site_ingest", "q_feed_ingest",
-}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -29,11 +20,10 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize(
-    "name", [n for n in registry.QUERIES if n not in SLOW or os.environ.get("LARDER_ALL")]
-)
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, duck, name):
     ok, message = compare(spark, duck, SF, name, registry.QUERIES[name], registry.ORACLES.get(name))
+    remove_staged(spark)
     assert ok, message
 
 
