@@ -88,21 +88,3 @@ def test_report_from_counts(spark):
     assert sorted(map(str, report.report_from_counts(report.merge_counts(parts[0].union(parts[1])), day).collect())) == sorted(map(str, got))
     with pytest.raises(ValueError, match="start of one"):
         report.report_from_counts(parts[0], dt.datetime(2024, 1, 31, 1))
-
-
-def test_walk_reads_links_about_once(spark):
-    """A long chain beside many pages that nothing leads to: a depth reads the buckets of its pages, not all links."""
-    from larder.operators.links import FOLLOW, PARSE, link_reach
-
-    chain = [(f"c{i}", f"c{i + 1}", FOLLOW) for i in range(12)] + [(f"c{i}", f"p{i}", PARSE) for i in range(12)]
-    back = [(f"c{i}", "c0", FOLLOW) for i in range(12)]
-    aside = spark.range(2000).select(F.concat(F.lit("x"), "id").alias("src_url"), F.concat(F.lit("y"), F.col("id") % 50).alias("dst_url"), F.lit(PARSE).alias("action"))
-    links = spark.createDataFrame(chain + back, "src_url string, dst_url string, action string").union(aside)
-    read = []
-    found = link_reach(links, spark.createDataFrame([("c0",)], "url string"), buckets=32, read=read)
-    assert {(r.url, r.depth, r.action) for r in found.collect()} == {
-        ("c0", 0, FOLLOW), *((f"c{i}", i, FOLLOW) for i in range(1, 13)), *((f"p{i}", i + 1, PARSE) for i in range(12))
-    }
-    assert len(read) >= 12 and sum(read) <= 1.2 * links.count()
-    assert link_reach(links.where("false"), spark.createDataFrame([("c0",)], "url string")).count() == 1
-    assert link_reach(links, spark.createDataFrame([], "url string")).count() == 0
