@@ -30,6 +30,13 @@ def test_a_tag_is_read_once(monkeypatch):
     ]
 
 
+def test_a_worker_holds_few_nodes():
+    """Pages of 20,000 nodes are handed on a few at a time, whatever the size of the input batch."""
+    out = [*shred.shred_batches(iter([batch(*["<br>" * 20_000] * 9)]))]
+    assert [b.num_rows for b in out] == [3, 3, 3]
+    assert all(len(n) == 20_002 for b in out for n in b.column("nodes").to_pylist())
+
+
 def test_a_choice_is_extracted_once(spark):
     a, b = F.col("a"), F.col("b")
     assert str(first_nonempty(F.reverse(a), b)).count("reverse") == 1
