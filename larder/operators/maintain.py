@@ -165,7 +165,8 @@ def cleanup_stale(
     changes, invalid, new = cleanup(old, update=True, carried=("batch", "gen"))
     changes, invalid = storage.staged(changes, "changes"), storage.staged(invalid, "invalid")
     filed = new.withColumn("gen", F.concat((F.col("gen") + 1).cast("string"), F.lit(f"-{digest}")))
-    writer = filed.repartition("batch").write.mode("overwrite").partitionBy("batch", "gen")
+    # every task writes what it has read of a batch: gathered, a large batch would be one task's
+    writer = filed.write.mode("overwrite").partitionBy("batch", "gen")
     writer.option("partitionOverwriteMode", "dynamic").parquet(store)
     for batch, generations in _generations(spark, store).items():
         for name in generations[:-1]:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from larder.functions import nodes as N
 from larder.functions import text as X
+from larder.operators import maintain as MT
 from larder.operators import microdata as M
 from larder.operators import shred
 from larder.operators.records import first_nonempty
+from larder.storage import fresh_folder, names_in
 
 
 def batch(*html):
@@ -67,3 +69,26 @@ def test_edges(spark):
     cases = {"": "", " ": "", "a": "a", " a ": "a", "a   ": "a", "\x1c a \t b \n\n": "a \t b", "a b": "a b", "\n": "", "a b  ": "a b"}
     rows = spark.createDataFrame([(k,) for k in cases], "v string").select("v", X.strip_edges("v").alias("s"))
     assert {r.v: r.s for r in rows.collect()} == cases
+
+
+SCHEMA = "_id string, source string, name string, url string, ingredients array<string>, ts timestamp"
+
+
+def test_a_batch_is_cleaned_by_several_tasks(spark):
+    store = fresh_folder(spark, "many")
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("_id"), F.lit("s").alias("source"), F.concat(F.lit(" n "), "id").alias("name"),
+        F.lit("u").alias("url"), F.array(F.lit("1 egg")).alias("ingredients"), F.lit("2024-01-01").cast("timestamp").alias("ts"),
+    )
+    MT.add_batch(rows.repartition(8), store, 0)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        written, _, _ = MT.cleanup_stale(spark, store, SCHEMA, "d")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert written == ["batch=0"]
+    files = [n for n in names_in(spark, f"{store}/batch=0/gen=1-d") if n.endswith(".parquet")]
+    assert len(files) > 1
+    kept = MT.read_generations(spark, store, SCHEMA).select("_id", "name").collect()
+    assert sorted((int(r[0]), r.name) for r in kept) == [(i, f"n {i}") for i in range(400)]
