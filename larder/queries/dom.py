@@ -431,7 +431,7 @@ def q_sitemap_urls(spark, sf):
        UNION ALL SELECT 'http://www.food.com/sitemap-' || CAST(o_orderkey AS VARCHAR) || '.xml', 'sitemap', 1 FROM orders"""
 )
 def q_sitemap_files(spark, sf):
-    """One sitemap file of all order lines and one index file of all orders, each read by many tasks."""
+    """One sitemap of all order lines and one index of all orders, each written in parts by many tasks, and read by many."""
     folder = fresh_folder(spark, "sitemap-files")
     line = table(spark, sf, "lineitem")
     url = _t("http://www.food.com/recipe/", F.col("l_orderkey"), "?a=", F.col("l_linenumber"), "&b=", F.col("l_partkey"))
@@ -442,6 +442,7 @@ def q_sitemap_files(spark, sf):
         ("index", "sitemapindex", table(spark, sf, "orders").select(part.alias("value"))),
     ):
         first, last = (spark.createDataFrame([(x,)], "value string").coalesce(1) for x in (f'<?xml version="1.0"?><{root} xmlns="http://example.org/">', f"</{root}>"))
-        first.union(entries).union(last).coalesce(1).write.text(f"{folder}/{name}")
+        # gathered into one file, all entries would pass through one task
+        first.union(entries).union(last).write.text(f"{folder}/{name}")
     found = feeds.sitemap_file_entries(spark, f"{folder}/*/part-*")
     return found.groupBy("loc", "kind").agg(F.count("*").alias("n"))

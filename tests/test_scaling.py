@@ -92,3 +92,26 @@ def test_a_batch_is_cleaned_by_several_tasks(spark):
     assert len(files) > 1
     kept = MT.read_generations(spark, store, SCHEMA).select("_id", "name").collect()
     assert sorted((int(r[0]), r.name) for r in kept) == [(i, f"n {i}") for i in range(400)]
+
+
+def test_sitemaps_are_written_in_parts(spark, tmp_path, monkeypatch):
+    from larder.queries import dom
+
+    line = spark.range(40).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 3).alias("l_partkey"))
+    line.repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    line.select(F.col("l_orderkey").alias("o_orderkey")).repartition(4).write.parquet(f"{tmp_path}/orders.parquet")
+    folder = f"{tmp_path}/maps"
+    monkeypatch.setattr(dom, "fresh_folder", lambda *_: folder)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = dom.q_sitemap_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    for name in ("url", "index"):
+        with_entries = [n for n in names_in(spark, f"{folder}/{name}") if n.startswith("part-") and "<loc>" in open(f"{folder}/{name}/{n}").read()]
+        assert len(with_entries) > 1
+    assert sorted((r["loc"], r.kind, r.n) for r in got) == sorted(
+        [(f"http://www.food.com/recipe/{i}?a=1&b={i % 3}", "url", 1) for i in range(40)]
+        + [(f"http://www.food.com/sitemap-{i}.xml", "sitemap", 1) for i in range(40)]
+    )
