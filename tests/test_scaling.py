@@ -11,6 +11,7 @@ from larder.operators import maintain as MT
 from larder.operators import microdata as M
 from larder.operators import shred
 from larder.operators.records import first_nonempty
+from larder.queries.tables import spread
 from larder.storage import fresh_folder, names_in
 
 
@@ -115,3 +116,24 @@ def test_sitemaps_are_written_in_parts(spark, tmp_path, monkeypatch):
         [(f"http://www.food.com/recipe/{i}?a=1&b={i % 3}", "url", 1) for i in range(40)]
         + [(f"http://www.food.com/sitemap-{i}.xml", "sitemap", 1) for i in range(40)]
     )
+
+
+def test_pages_are_dealt_to_several_tasks_per_core(spark):
+    """One task per core would leave cores idle behind the slowest; every row is still there once."""
+    rows = spread(spark.range(1000).withColumnRenamed("id", "k"), "k")
+    sizes = rows.rdd.glom().map(len).collect()
+    assert len(sizes) == 4 * spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 1000 and max(sizes) < 100
+    assert sorted(r.k for r in rows.collect()) == [*range(1000)]
+
+
+def test_an_end_is_implied_at_once_or_from_further_out():
+    """The open element that a tag ends is the innermost one or lies further out; items end with it."""
+    html = '<ul><li itemscope>a<li><b>c<li>d<ul><li>e</ul>f</ul><table><tr><td>1<td><i>2<tr><th>3</table>'
+    nodes = pa.Table.from_batches(shred.shred_batches(iter([batch(html)])))["nodes"].to_pylist()[0]
+    assert [(n["text"] or n["tag"], n["parent"], n["end"], n["item"]) for n in nodes] == [
+        ("html", -1, 23, -1), ("body", 0, 23, -1), ("ul", 1, 13, -1), ("li", 2, 4, -1), ("a", 3, 4, 3), ("li", 2, 7, -1),
+        ("b", 5, 7, -1), ("c", 6, 7, -1), ("li", 2, 13, -1), ("d", 8, 9, -1), ("ul", 8, 12, -1), ("li", 10, 12, -1),
+        ("e", 11, 12, -1), ("f", 8, 13, -1), ("table", 1, 23, -1), ("tr", 14, 20, -1), ("td", 15, 17, -1), ("1", 16, 17, -1),
+        ("td", 15, 20, -1), ("i", 18, 20, -1), ("2", 19, 20, -1), ("tr", 14, 23, -1), ("th", 21, 23, -1), ("3", 22, 23, -1),
+    ]
