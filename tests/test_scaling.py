@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from larder.functions import nodes as N
 from larder.functions import text as X
+from larder.operators import links as L
 from larder.operators import maintain as MT
 from larder.operators import microdata as M
 from larder.operators import shred
 from larder.operators.records import first_nonempty
+from larder.plans import ingest
 from larder.queries.tables import spread
 from larder.storage import fresh_folder, names_in
 
@@ -137,3 +139,40 @@ def test_an_end_is_implied_at_once_or_from_further_out():
         ("e", 11, 12, -1), ("f", 8, 13, -1), ("table", 1, 23, -1), ("tr", 14, 20, -1), ("td", 15, 17, -1), ("1", 16, 17, -1),
         ("td", 15, 20, -1), ("i", 18, 20, -1), ("2", 19, 20, -1), ("tr", 14, 23, -1), ("th", 21, 23, -1), ("3", 22, 23, -1),
     ]
+
+
+def test_a_walk_shreds_only_pages_that_it_can_follow(spark, monkeypatch):
+    """Recipes, which a walk only takes, pages of foreign hosts and pages without URL are not read for links."""
+    starts = {"food": ["http://www.food.com/start"], "tastykitchen": []}
+    links = {
+        "http://www.food.com/start": ["http://www.food.com/recipes/a", "http://www.food.com/recipe/1", "http://x.org/recipes/b"],
+        "http://www.food.com/recipes/a": ["http://www.food.com/recipe/2", "/recipes/a", "http://tastykitchen.com/recipes/page/2/"],
+        "http://www.food.com/recipe/1": ["http://www.food.com/recipe/3", "http://www.food.com/recipes/c"],
+        "http://www.food.com/recipes/c": ["http://www.food.com/recipe/4"],
+        "http://x.org/recipes/b": ["http://www.food.com/recipe/5"],
+        None: ["http://www.food.com/recipe/6"],
+    }
+    rows = [("food", u, "".join(f'<a href="{d}">r</a>' for d in to)) for u, to in links.items()]
+    pages = spark.createDataFrame([*rows, rows[1], (None, "http://www.food.com/recipes/a", rows[1][2])], "source string, url string, html string")
+    monkeypatch.setattr(ingest, "START_URLS", starts)
+    shredded = []
+    monkeypatch.setattr(ingest, "shred_pages", lambda d: shredded.append(d) or shred.shred_pages(d))
+    got = sorted(r.url for r in ingest.site_page_urls(pages).collect())
+    assert got == ["http://www.food.com/recipe/1", "http://www.food.com/recipe/2"]
+    assert sorted(r.url for r in shredded[0].collect()) == [
+        "http://www.food.com/recipes/a", "http://www.food.com/recipes/a", "http://www.food.com/recipes/c", "http://www.food.com/start",
+    ]
+
+
+def test_a_page_is_followed_as_its_routed_links_are(spark):
+    """At a domain that two sites list, the rules of either may follow a page, whatever site the page counts to."""
+    rules = [L.LinkRule("a", "/list", L.FOLLOW, deny="x$"), L.LinkRule("b", "/list", L.PARSE), L.LinkRule("b", "/all", L.PARSE_FOLLOW)]
+    domains = {"a": ["One.com", "two.com"], "b": ["one.com", "sub.two.com"]}
+    cases = {
+        "http://one.com/list": True, "http://www.one.com/all": True, "http://one.com/listx": False, "http://two.com/all": False,
+        "http://sub.two.com/all": True, "http://sub.two.com/list": True, "http://three.com/list": False, "http://s.com/": True,
+        "list": False, None: False,
+    }
+    rows = spark.createDataFrame([(u,) for u in cases], "url string")
+    got = rows.select("url", L.may_be_followed(F.col("url"), rules, domains, ["http://s.com/"]).alias("x"))
+    assert {r.url: r.x for r in got.collect()} == cases
