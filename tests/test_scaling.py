@@ -12,7 +12,9 @@ from larder.operators import maintain as MT
 from larder.operators import microdata as M
 from larder.operators import shred
 from larder.operators.records import first_nonempty
+from larder.operators.site_extract import shred_site_pages, site_extract
 from larder.plans import ingest
+from larder.plans.site_rules import SITES
 from larder.queries.tables import spread
 from larder.storage import fresh_folder, names_in
 
@@ -176,3 +178,41 @@ def test_a_page_is_followed_as_its_routed_links_are(spark):
     rows = spark.createDataFrame([(u,) for u in cases], "url string")
     got = rows.select("url", L.may_be_followed(F.col("url"), rules, domains, ["http://s.com/"]).alias("x"))
     assert {r.url: r.x for r in got.collect()} == cases
+
+
+def plan_of(df) -> str:
+    """The analysed plan, with every field of every expression."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        return df._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_no_slice_of_a_stored_page(spark):
+    """A slice of the stored array reads all nodes of the page: one for every property, class or hit."""
+    pages = spark.createDataFrame([(1, "http://a/", "food", "<p>")], "page_id long, url string, source string, html string")
+    d = shred.shred_pages(pages)
+    for extractor in (M.microdata_records, M.flat_itemprop_records, M.lower_itemprop_records, M.hrecipe_records):
+        assert "slice(nodes#" not in plan_of(d.select(extractor(F.col("nodes"), F.col("url"))))
+    assert "slice(nodes#" not in plan_of(M.microdata_items(d))
+    assert "slice(nodes#" not in plan_of(site_extract(shred_site_pages(pages, SITES), SITES))
+
+
+def test_a_nested_item_is_looked_up_once(spark):
+    html = (
+        '<div itemscope itemtype="http://data-vocabulary.org/Recipe"><b itemprop="nutrition" itemscope>'
+        '<i itemprop="calories">1</i><i itemprop="sugar">2</i><i itemprop="calories">3</i></b>'
+        '<b itemprop="nutrition" itemscope><i itemprop="calories">4</i></b>'
+        '<p itemprop="ingredient" itemscope><i itemprop="name">egg</i><i itemprop="amount">5</i></p>'
+        '<p itemprop="ingredient" itemscope><i itemprop="name">salt</i></p><p itemprop="ingredient">oil</p></div>'
+    )
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", "<p>"), (3, "u", None)], "page_id long, url string, html string")
+    d = shred.shred_pages(pages).select("page_id", M.microdata_records(F.col("nodes"), F.col("url")).alias("r"))
+    assert plan_of(d).count("= nutrition)") == 1
+    got = {r.page_id: r.r for r in d.collect()}
+    assert got[2] is None and got[3] is None
+    (r,) = got[1]
+    assert (r.calories, r.sugarContent, r.aggregateRating) == (["1", "3"], ["2"], None)
+    assert r.ingredients == ["5 egg", "salt", "oil"]
