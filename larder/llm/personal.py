@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import arrow_map, by_blocks
-from larder.llm.nets import Adam, Squash, add_rows, glorot, softmax
+from larder.llm.nets import Adam, add_rows, glorot, softmax
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # label 0: none
@@ -211,26 +211,28 @@ class Tagger:
     def _read(self, x: np.ndarray, d: str, em: np.ndarray, order) -> None:
         """Add one direction's emissions to ``em`` (positions, labels, windows); windows lie side by side in memory."""
         H = self.hidden
+        # A gate is half of 1 + tanh: the rows of the gates are halved before it, and the halves behind it are left
+        # out of h, which is kept doubled, so U and O are halved once more. All exact, as powers of two are.
         half = np.concatenate([np.full(3 * H, 0.5, np.float32), np.ones(H, np.float32)])
-        E, U, out = (np.ascontiguousarray(m.T) for m in (self.w[f"E{d}"] * half, self.w[f"U{d}"] * half, self.w[f"O{d}"]))
+        E = np.ascontiguousarray((self.w[f"E{d}"] * half).T)
+        U = np.ascontiguousarray((self.w[f"U{d}"] * (half * np.float32(0.5))).T)
+        out = np.ascontiguousarray((self.w[f"O{d}"] * np.float32(0.5)).T)
         size = x.shape[1]
         h, c, g = (np.zeros((H, size), np.float32) for _ in range(3))
         a, u = np.empty((4 * H, size), np.float32), np.empty((4 * H, size), np.float32)
         part = np.empty((LABELS, size), np.float32)
         gates, i, f, o, new = a[: 3 * H], a[:H], a[H : 2 * H], a[2 * H : 3 * H], a[3 * H :]
-        squash = Squash(a.shape)
         for t in order:
             np.take(E, x[t], axis=1, out=a, mode="clip")
             np.matmul(U, h, out=u)
             a += u
-            squash(a)
-            gates *= 0.5
-            gates += 0.5
+            np.tanh(a, out=a)
+            gates += 1
             c *= f
             np.multiply(i, new, out=g)
             c += g
-            np.copyto(h, c)
-            squash(h)
+            c *= 0.5
+            np.tanh(c, out=h)
             h *= o
             np.matmul(out, h, out=part)
             em[t] += part
