@@ -37,6 +37,39 @@ def test_a_tag_is_read_once(monkeypatch):
     ]
 
 
+def by_add_page(pages):
+    columns = shred.NodeColumns()
+    for html in pages:
+        if html:
+            columns.add_page(html)
+        columns.close_row()
+    return columns.to_arrow()
+
+
+def test_the_tags_of_plain_pages_are_not_followed_one_by_one(monkeypatch):
+    learnt, known = [], shred.Steps.learn
+    monkeypatch.setattr(shred.Steps, "learn", lambda *a: learnt.append(a) or known(*a))
+    monkeypatch.setattr(shred.NodeColumns, "add_page", None)
+    item = '<li itemprop="i" itemscope>a{0} &amp; é<span itemprop=name>{0}</span><br>'
+    pages = ["<html><head><title>{0}</title></head><body><p>{0}<ul>".format(i) + item.format(i) * 9 + "</ul></body></html>" for i in range(300)]
+    out = pa.Table.from_batches(shred.shred_batches(iter([batch(*pages)])))["nodes"]
+    monkeypatch.undo()
+    assert out.combine_chunks().equals(by_add_page(pages))
+    assert len(learnt) < 20 * 10  # of 9,300 tags, by chunks of pages
+
+
+def test_plain_and_other_pages_have_the_same_nodes():
+    parts = [
+        "<p>", "<li>a", "</ul>", "<table><tr><td>x", "</td>", "</table>", "<dl><dt>t<dd>", "<hr>", "<li/>", "<option>", "</b>", "<A HREF=x/>", "<img alt='a>b'>",
+        '<p class="x>', "a < b", "x>y", "<!-- c -->", "<!-- <p> -->", "<!-->", "<script>a &amp; b</script>", "<style>a>b</style>", "<script src=a/>", '<a"b c="d>',
+        "<div itemscope itemprop=q>", "</div>", "&eacute;é", "</body>", "<head>", "<?x y?>", "<" + "b>" + "<b>" * 70, "</html>", "<script>a",
+    ]
+    pages = ["", None, "x", "<p>y", "<html>", "<html><body>"]
+    pages += [f"<html><head></head><body>{a}{b}{c}z</body></html>\n" for a in parts for b in parts for c in parts[::5]]
+    out = pa.Table.from_batches(shred.shred_batches(iter([batch(*pages)])))["nodes"].combine_chunks()
+    assert out.equals(by_add_page(pages))
+
+
 def test_a_worker_holds_few_nodes():
     """Pages of 20,000 nodes are handed on a few at a time, whatever the size of the input batch."""
     out = [*shred.shred_batches(iter([batch(*["<br>" * 20_000] * 9)]))]
