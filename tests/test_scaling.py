@@ -13,7 +13,7 @@ from larder.operators import microdata as M
 from larder.operators import shred
 from larder.operators.records import first_nonempty
 from larder.operators.site_extract import shred_site_pages, site_extract
-from larder.plans import ingest
+from larder.plans import ingest, pipeline
 from larder.plans.site_rules import SITES
 from larder.queries.tables import spread
 from larder.storage import fresh_folder, names_in
@@ -249,3 +249,17 @@ def test_a_nested_item_is_looked_up_once(spark):
     (r,) = got[1]
     assert (r.calories, r.sugarContent, r.aggregateRating) == (["1", "3"], ["2"], None)
     assert r.ingredients == ["5 egg", "salt", "oil"]
+
+
+def test_pages_meet_the_site_rules_where_they_are(spark):
+    """No page is dealt by its site, and records are not extracted once more to count them."""
+    pages = spark.createDataFrame(
+        [(1, "http://a/1", "food", '<div itemscope itemtype="http://schema.org/Recipe"><b itemprop="name">n</b></div>'), (2, "http://a/2", "lovefood", "<p>x</p>"), (3, "http://a/3", None, "<p>x</p>")],
+        "page_id bigint, url string, source string, html string",
+    )
+    raw = pipeline.extract_pages(pages)
+    plan = raw._jdf.queryExecution()
+    assert "Exchange hashpartitioning" not in plan.executedPlan().toString()
+    filters = [line for line in plan.optimizedPlan().toString().split("\n") if "Filter" in line]
+    assert filters and not any("lambdafunction" in line for line in filters)
+    assert [(r.page_id, r.item_no, r.source, r.name) for r in raw.orderBy("page_id").collect()] == [(1, 0, ["food"], ["n"])]
